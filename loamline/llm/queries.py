@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, ranking, rules, sharding, toxicity
+from . import bpe, licences, minhash, mixing, mpeg, ranking, rules, sharding, toxicity, viterbi
 from .common import crc_of_id, read
 
 
+#: Folder of the public tokenizers' files, the same on every executor.
+TOKENIZERS = os.environ.get("LOAMLINE_TOKENIZERS", "/opt/tokenizers")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted: Bradley-Terry quality of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -17,6 +23,29 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op2_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's padded bytes stored as MPEG audio and read back: digests, sizes and the stream's features."""
+    stored = mpeg.store_media(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    back = mpeg.inspect_media(stored)
+    payload = F.col("audio.payload")
+    return back.select(
+        "doc_id",
+        F.col("audio.text_bytes").alias("n_bytes"),
+        F.octet_length(payload).cast("long").alias("payload_bytes"),
+        F.sha2(payload, 256).alias("payload_sha256"),
+        F.crc32(F.substring(payload, -64, 64)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.concat_ws(
+            ";", F.array_join("audio.tags", "+"), "audio.vbr", F.concat(F.lit("frames="), "audio.frames"), F.concat(F.lit("samples="), "audio.duration_samples", F.lit("/"), "audio.rate"),
+            F.concat(F.lit("kbps="), F.round("audio.kbps", 3)), F.concat(F.lit("crc="), "audio.crc_good", F.lit("+"), "audio.crc_bad"), F.concat(F.lit("resyncs="), "audio.resyncs"),
+            F.concat(F.lit("offsets="), F.crc32(F.array_join("audio.frame_offsets", ",").cast("binary"))),
+        ).alias("feature"),
+        F.col("audio.duration").alias("duration"),
+        F.col("audio.crc_bad").alias("crc_bad"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted: toxicity of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -25,6 +54,20 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon, forest).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, template, matched_words, template_words, coverage, start, end of every licence found in a document."""
+    return licences.scan_licences(read(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+MIX_SHARE = 0.5
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang, topic, tokens, probability, kept: token weights raked to the marginals, then sampled."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs, MIX_SHARE).select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "kept")
+
+
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard by rendezvous hashing of doc_id over 8 (and 9) shards."""
     out = sharding.assign_shards(read(spark, sf_dir, "documents"), weights=(1.0,) * 8, grown=(1.0,) * 9)
@@ -41,11 +84,26 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, score: the unigram token count of every document."""
+    return viterbi.count_tokens(read(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"])
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: near-duplicate classes on 2-word shingles at 0.8."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), minhash.Settings(shingle=2, percent=80))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_toxicity, op6_shards, op7_rules, op9_near_duplicates)}
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document under the byte-level BPE vocabulary."""
+    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    encoded = bpe.encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    return bpe.digests(bpe.decode(encoded, path))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality, op2_mpeg, op3_toxicity, op4_licences, op5_mixing, op6_shards, op7_rules, op8_token_counts, op9_near_duplicates, op10_bpe)
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIX_SHARE, mixing.TARGETS)}
