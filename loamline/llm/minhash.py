@@ -21,8 +21,9 @@ class Settings:
     """shingle: words a shingle. percent: the least similarity, 100 |A∩B| >= percent |A∪B|.
 
     With bands x rows minima, a pair at similarity s shares a bucket with probability 1 - (1 - s^rows)^bands; for
-    32 x 4 and s = 0.8 it is missed once in 2·10^7. agree: of the bands·rows minima, the least number that two
-    signatures in one bucket must share in the second search (its expectation at 0.8 is 102, its deviation 4.5).
+    32 x 4 and s = 0.8 it is missed once in 2·10^7. agree: the least number of equal minima for a pair to be verified
+    (of 128, 102 are expected at 0.8, with a deviation of 4.5). block: members of a bucket that are compared in a task;
+    block_shingles: their shingles.
     """
 
     shingle: int = 5
@@ -30,7 +31,8 @@ class Settings:
     bands: int = 32
     rows: int = 4
     agree: int = 72
-    block: int = 512
+    block: int = 2048
+    block_shingles: int = 8_000_000
     broadcast_ids: int = 1_000_000
     seed: int = 11
 
@@ -74,40 +76,45 @@ def signature(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np
     return out
 
 
+def band_keys(minima: np.ndarray, settings: Settings) -> np.ndarray:
+    """A 64-bit key of each band's minima."""
+    parts = minima.reshape(settings.bands, settings.rows).astype(np.uint64)
+    out = np.arange(settings.bands, dtype=np.uint64)
+    for i in range(settings.rows):
+        out = (out * _MIX) ^ parts[:, i]
+        out ^= out >> np.uint64(31)
+        out *= _STEP
+    return (out ^ out >> np.uint64(32)).view(np.int64)
+
+
 def _cache() -> BoundedCache:
     return BoundedCache(lambda w: xxhash.xxh3_64_intdigest(w))
 
 
 def signatures(docs: DataFrame, settings: Settings, key: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, set_key (128 bits of the whole set) and signature (binary) of every row."""
+    """doc_id, n_shingles, set_key (128 bits of the whole set), signature (the minima) and bands (a key each) of every row."""
     small_batches(docs.sparkSession)
 
     def run(batches):
         cache, family = _cache(), hash_family(settings)
         for batch in batches:
-            counts, keys, signs = [], [], []
+            counts, keys, signs, bands = [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingle_set(word_hashes(t, cache), settings.shingle)
                 counts.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                signs.append(signature(s, family).tobytes() if len(s) else None)
+                minima = signature(s, family) if len(s) else None
+                signs.append(None if minima is None else minima.view(np.int32))
+                bands.append(None if minima is None else band_keys(minima, settings))
                 cache.trim()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "set_key", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.list_(pa.int32())), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_key", "signature", "bands"])
 
     source = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, set_key binary, signature binary")
-
-
-def band_keys(sets: DataFrame, settings: Settings) -> DataFrame:
-    """id, bucket for every band of every row that has a signature."""
-    width = 4 * settings.rows
-    bands = F.sequence(F.lit(0), F.lit(settings.bands - 1))
-    keys = F.transform(bands, lambda i: F.xxhash64(i, F.substring(F.col("signature"), i * width + 1, F.lit(width))))
-    return sets.select("id", F.explode(keys).alias("bucket"))
+    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, set_key binary, signature array<int>, bands array<long>")
 
 
 def shingles_of(docs: DataFrame, ids: DataFrame, settings: Settings, key: str, text: str) -> DataFrame:
-    """id, shingles (array of long) of the documents whose id is listed; repeated ids keep one row.
+    """id, shingles (array of long) of the documents whose id is listed; an id with several texts has a row for each.
 
     The list is broadcast only while a count finds it within settings.broadcast_ids; beyond that both sides are shuffled.
     """
@@ -140,6 +147,13 @@ def verify(pairs: DataFrame, docs: DataFrame, settings: Settings, key: str, text
     return materialise(alike.select("a", "b"), "links")
 
 
+def _agreeing(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs whose signatures have at least settings.agree minima in common."""
+    one, two = sets.select(F.col("id").alias("a"), F.col("signature").alias("sa")), sets.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
+    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return pairs.join(two, "b").join(one, "a").where(same >= settings.agree).select("a", "b")
+
+
 def components(links: DataFrame, limit: int = 60) -> DataFrame:
     """node, root (the least node reachable) for every node of the links (a, b): alternating large-star and small-star.
 
@@ -167,36 +181,58 @@ def components(links: DataFrame, limit: int = 60) -> DataFrame:
     raise RuntimeError(f"no stable components after {limit} rounds")
 
 
-def _close_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of different components that share a bucket and enough of their signatures.
+def _links_between(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between documents of different components that share a bucket, enough to join all that are linked.
 
-    A bucket is dealt into blocks of about settings.block rows and every pair of blocks is compared in a task of its
-    own, so no bucket meets in one task however large it is.
+    rows: bucket, id, root, shingles. A bucket is dealt into blocks and each pair of blocks is compared in a task of its
+    own, so no bucket meets in one task however large it is. Full sets are compared there, pairs stay in the task, and
+    only links that join components leave it.
     """
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"))
-    cut = rows.join(sizes.select("bucket", F.ceil(F.col("n") / settings.block).cast("int").alias("blocks")), "bucket")
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = cut.select("bucket", "id", "root", "signature", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "root", "signature")
-
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("s"))
+    blocks = F.greatest(F.ceil(F.col("n") / settings.block), F.ceil(F.col("s") / settings.block_shingles)).cast("int")
+    cut = rows.join(sizes.select("bucket", blocks.alias("blocks")), "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = cut.select("bucket", "id", "root", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "root", "shingles")
     kind = dict(rows.dtypes)["id"]
 
-    def near(table: pa.Table) -> pa.Table:
+    def compare(table: pa.Table) -> pa.Table:
         ids, roots, own = table["id"].to_numpy(), table["root"].to_numpy(), table["own"].to_numpy()
-        signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(len(ids), -1)
-        x, y = table["x"][0].as_py(), table["y"][0].as_py()
-        left = np.flatnonzero(own == x)
-        right = np.flatnonzero(own == y)
-        found_a, found_b = [], []
-        for i in left:
-            rest = right[(roots[right] != roots[i]) & (ids[right] > ids[i])] if x == y else right[roots[right] != roots[i]]
-            if len(rest):
-                good = rest[(signs[rest] == signs[i]).sum(1) >= settings.agree]
-                found_a += [min(ids[i], ids[j]) for j in good]
-                found_b += [max(ids[i], ids[j]) for j in good]
-        return pa.table({"a": pa.array(found_a, table.schema.field("id").type), "b": pa.array(found_b, table.schema.field("id").type)})
-
-    return dealt.groupBy("bucket", "x", "y").applyInArrow(near, f"a {kind}, b {kind}").distinct()
+        values, counts = np.unique(roots, return_counts=True)
+        found: list[tuple] = []
+        if len(values) > 1:
+            sets = table["shingles"].combine_chunks()
+            begin = sets.offsets.to_numpy()
+            _, codes = np.unique(sets.values.to_numpy()[begin[0] : begin[-1]], return_inverse=True)
+            begin = begin - begin[0]
+            size = np.diff(begin)
+            mark = np.zeros(int(codes.max()) + 1, np.int32)
+            main = values[counts.argmax()]
+            parent = {r: r for r in values.tolist()}
+
+            def top(r):
+                while parent[r] != r:
+                    parent[r] = r = parent[parent[r]]
+                return r
+
+            across = table["x"][0].as_py() != table["y"][0].as_py()
+            for i in np.flatnonzero(roots != main):
+                j = (roots != roots[i]) & ((roots == main) | (ids > ids[i])) & (100 * np.minimum(size, size[i]) >= settings.percent * np.maximum(size, size[i]))
+                if across:
+                    j &= own != own[i]
+                if not j.any():
+                    continue
+                mark[codes[begin[i] : begin[i + 1]]] = 1
+                both = np.add.reduceat(mark[codes], begin[:-1])
+                mark[codes[begin[i] : begin[i + 1]]] = 0
+                for k in np.flatnonzero(j & (100 * both >= settings.percent * (size + size[i] - both))):
+                    a, b = top(roots[i].item()), top(roots[k].item())
+                    if a != b:
+                        parent[b] = a
+                        found.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+        form = table.schema.field("id").type
+        return pa.table({"a": pa.array([f[0] for f in found], form), "b": pa.array([f[1] for f in found], form)})
+
+    return dealt.groupBy("bucket", "x", "y").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,31 +240,30 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
 
     Links join documents whose shingle sets are similar enough; component_id is the least doc_id reachable.
     1. Rows with equal sets collapse to the least id. 2. In every bucket of every band each member pairs with the
-    bucket's least id; the pairs are verified on full sets and joined by components. 3. Buckets that still hold more than
-    one component are searched again for pairs between components, which are verified too, so a link that does not pass
-    through a bucket's least member is found as well. No bucket is capped and no bucket's pairs within one component
-    are made.
+    bucket's least id; pairs that agree in enough minima are verified on full sets and joined by components. 3. In buckets
+    that still hold more than one component, the full sets of different components are compared within tasks, so a link
+    that does not pass through a bucket's least member is found as well. No bucket is capped, no bucket's pairs are
+    emitted; a bucket of one component, such as a large group of near copies, is not compared at all.
     Null and empty texts, or texts without words, have 0 shingles and link with nothing: their component is their own
     id. Repeated ids are one document. Rows with a null id keep a null component and are not kept. Other columns are
     ignored. An empty table gives an empty result.
     """
     rows = materialise(signatures(docs, settings, key, text), "signatures")
     usable = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    sets = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature"))
+    sets = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     sets = materialise(sets, "distinct-sets")
-    members = materialise(band_keys(sets, settings).distinct(), "bands")
+    members = materialise(sets.select("id", F.explode("bands").alias("bucket")).distinct(), "bands")
     several = members.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     shared = materialise(members.join(several.select("bucket", "least"), "bucket"), "shared-buckets")
-    links = verify(shared.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), docs, settings, key, text)
+    pairs = shared.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    links = verify(_agreeing(pairs, sets, settings), docs, settings, key, text)
     found = components(links)
-    rooted = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "least", F.coalesce("root", "id").alias("root"))
+    rooted = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi AND n > 2").select("bucket")
     again = materialise(rooted.join(mixed, "bucket"), "mixed-buckets")
     if not again.isEmpty():
-        signs = sets.groupBy("id").agg(F.min("signature").alias("signature"))
-        close = _close_pairs(again.select("bucket", "id", "root").join(signs, "id"), settings)
-        tried = shared.select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-        more = verify(close.join(tried, ["a", "b"], "left_anti"), docs, settings, key, text)
+        full = materialise(shingles_of(docs, again.select("id").distinct(), settings, key, text), "sets")
+        more = materialise(_links_between(again.join(full, "id"), settings), "links")
         if not more.isEmpty():
             found = components(links.unionByName(more))
     by_set = usable.join(sets.select("set_key", "id"), "set_key").join(found.withColumnRenamed("node", "id"), "id", "left")
