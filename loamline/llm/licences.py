@@ -40,7 +40,7 @@ TEMPLATES = {
 @dataclass(frozen=True)
 class Settings:
     """Fingerprints are hashes of k words, the least of each `window` in a row: any k + window - 1 words in common share
-    one. band: how many words the alignment may drift. coverage: the share of a template's words that must match."""
+    one. band: how many words the alignment may drift (under half the template's words). coverage: the share of a template's words that must match."""
 
     k: int = 3
     window: int = 3
@@ -96,9 +96,11 @@ def build_index(templates: Mapping[str, str] = TEMPLATES, settings: Settings = S
 
 def align(template: np.ndarray, doc: np.ndarray, band: int) -> tuple[int, int, int]:
     """Banded local alignment (match 2, other -1) of a template with a piece of a document that starts `band` words before
-    the diagonal: (matched words, first, last + 1 matched word of the piece); zeros without a match."""
+    the diagonal: (matched words, first, last + 1 matched word of the piece); zeros without a match. Of paths with equal
+    scores the one with more matches wins: a cell holds the score times `unit`, plus the matches."""
     n, m, width = len(template), len(doc), 2 * band + 1
-    low = -(1 << 30)
+    unit = 1 << 20
+    low = -(1 << 50)
     score = [0] * width
     trace: list[list[int]] = []
     best = (0, -1, -1)
@@ -109,11 +111,11 @@ def align(template: np.ndarray, doc: np.ndarray, band: int) -> tuple[int, int, i
             if j >= m:
                 break
             same = doc[j] == word
-            value, step = (score[c] if i else 0) + (2 if same else -1), 1  # diagonal
-            if i and c + 1 < width and score[c + 1] - 1 > value:
-                value, step = score[c + 1] - 1, 2  # template word left out
-            if c and row[c - 1] - 1 > value:
-                value, step = row[c - 1] - 1, 3  # document word left out
+            value, step = (score[c] if i else 0) + (2 * unit + 1 if same else -unit), 1  # diagonal
+            if i and c + 1 < width and score[c + 1] - unit > value:
+                value, step = score[c + 1] - unit, 2  # template word left out
+            if c and row[c - 1] - unit > value:
+                value, step = row[c - 1] - unit, 3  # document word left out
             if value <= 0:
                 value, step = 0, 0
             row[c], steps[c] = value, step
@@ -158,15 +160,16 @@ def scan(text: str | None, index: Index, cache: BoundedCache) -> list[tuple]:
     for t, diagonals in anchors.items():
         diagonals.sort()
         template, last = index.words[t], None
+        band = min(s.band, (len(template) - 1) // 2)  # so that one copy after another is another diagonal
         for d in diagonals:
-            if last is not None and d - last <= s.band:
+            if last is not None and d - last <= band:
                 continue  # within the band of the alignment before
             last = d
-            begin = d - s.band  # the piece starts a band before the diagonal; before the text there are words of no kind
-            piece = hashes[max(0, begin) : d + len(template) + s.band]
+            begin = d - band  # the piece starts a band before the diagonal; before the text there are words of no kind
+            piece = hashes[max(0, begin) : d + len(template) + band]
             if begin < 0:
                 piece = np.concatenate([np.zeros(-begin, np.uint64), piece])
-            matched, first, end = align(template.tolist(), piece.tolist(), s.band)
+            matched, first, end = align(template.tolist(), piece.tolist(), band)
             if matched >= s.coverage * len(template):
                 matches.append((t, matched, begin + first, begin + end))
     if not matches:
