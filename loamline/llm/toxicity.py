@@ -20,7 +20,7 @@ MAX_LEXICON = 600
 SEED_LEXICON = frozenset("asshole bastard bitch clown crap cretin damn disgusting dumb fool garbage hate idiot imbecile jerk kill liar loser moron pathetic pig retard scum shut stupid suck sucks trash ugly useless vermin worthless".split())
 SECOND_PERSON = frozenset("you your yours yourself youre u du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos usted ustedes tú ti tuyo vosotros".split())
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "@": "a", "!": "i"})
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 8)
 
 FEATURES = (
     "seed_hits", "seed_density", "learned_hits", "learned_density", "weak_density", "distinct_hits", "closest_hits",
@@ -225,14 +225,16 @@ def fit(x: np.ndarray, labels: np.ndarray, calibrate: np.ndarray, rounds: int =
 
 
 def _in_calibration(key: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit("calibration"), key), F.lit(4)) == 0
+    return F.pmod(F.xxhash64(F.lit("calibration"), key), F.lit(5)) == 0
 
 
-def learn_lexicon(rows: DataFrame, max_entries: int = MAX_LEXICON, least: int = 4) -> Lexicon:
+def learn_lexicon(rows: DataFrame, max_entries: int = MAX_LEXICON, least: int = 4) -> tuple[Lexicon, Lexicon, Lexicon]:
     """Words and stems that mark label 1, from the texts (`__text`, `__label`) of a bounded training sample.
 
-    Each task sums the documents per entry before anything is shuffled. strong: at least `least` documents and 9 of 10
-    (smoothed, at equal class sizes) toxic; weak: 7 of 10. At most max_entries of each, the most telling first.
+    Each task sums the documents per entry before anything is shuffled. strong: at least `least` toxic documents and 97 of
+    100 (smoothed, at equal class sizes) toxic; weak: 85 of 100. At most max_entries of each, the most telling first.
+    The second lexicon is what a toxic document of the sample would find without itself, the third the same for a clean
+    one: features of the sample's own rows come from these, so trees do not trust entries that only restate a label.
     """
 
     def count(batches):
@@ -257,19 +259,28 @@ def learn_lexicon(rows: DataFrame, max_entries: int = MAX_LEXICON, least: int =
     totals = rows.groupBy().agg(F.coalesce(F.sum("__label"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
     n_toxic, n_clean = int(totals["t"]), int(totals["n"] - totals["t"])
     if not n_toxic or not n_clean:
-        return Lexicon()
+        return Lexicon(), Lexicon(), Lexicon()
     counts = rows.select("__text", "__label").mapInArrow(count, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    share_t, share_c = F.col("toxic") / n_toxic, (F.col("clean") + 0.5) / n_clean
-    marked = counts.where(F.col("toxic") >= least).withColumn("p", share_t / (share_t + share_c)).where("p >= 0.7")
-    pick = lambda c: [r[0] for r in marked.where(c).orderBy(F.desc(F.col("toxic") * F.log(F.col("p") / 0.5)), "entry").limit(max_entries).select("entry").collect()]
-    return Lexicon(frozenset(pick("p >= 0.9")), frozenset(pick("p < 0.9")))
+    share_t, share_c = F.col("toxic") / n_toxic, (F.greatest(F.col("clean") - 1, F.lit(0)) + 0.5) / n_clean
+    hopeful = counts.where((F.col("toxic") >= least) & (share_t / (share_t + share_c) >= 0.85))
+    found = hopeful.orderBy(F.desc(F.col("toxic") * F.log(2 * share_t / (share_t + share_c))), "entry").limit(2 * max_entries).collect()
+
+    def chosen(less_toxic: int, less_clean: int) -> Lexicon:
+        strong, weak = [], []
+        for r in found:
+            t, c = (r["toxic"] - less_toxic) / n_toxic, (max(0, r["clean"] - less_clean) + 0.5) / n_clean
+            if r["toxic"] - less_toxic >= least and t / (t + c) >= 0.85:
+                (strong if t / (t + c) >= 0.97 else weak).append(r["entry"])
+        return Lexicon(frozenset(strong[:max_entries]), frozenset(weak[:max_entries]))
+
+    return chosen(0, 0), chosen(1, 0), chosen(0, 1)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", key: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED) -> tuple[Lexicon, Forest]:
     """Learn the lexicon and the trees on at most `max_labelled` labelled rows, those with the least hash of their id.
 
-    usable: condition on the label rows' key. The lexicon and the trees see three quarters of these rows, the isotonic
-    steps the rest. Rows with a null key or label take no part; of repeated labels the greatest counts.
+    usable: condition on the label rows' key. The lexicon and the trees see four fifths of these rows (each without
+    its own share in the lexicon), the isotonic steps the rest. Rows with a null key or label take no part; of repeated labels the greatest counts.
     """
     chosen = (
         labels.select(F.col(key).alias("__key"), F.col(label).alias("__label"))
@@ -282,9 +293,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
 
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__key")
     rows = materialise(rows.withColumn("__hold", _in_calibration(F.col("__key"))), "toxic-sample")
-    lexicon = learn_lexicon(rows.where("NOT __hold"))
-    made = map_texts(rows, feature_maker(lexicon), [("features", T.ArrayType(T.DoubleType()))], "__text", ["__key", "__label", "__hold"])
-    got = made.orderBy(F.xxhash64("__key"), "__key", "features").limit(max_labelled).select("__label", "__hold", "features").collect()
+    lexicon, for_toxic, for_clean = learn_lexicon(rows.where("NOT __hold"))
+    parts = (("__hold", lexicon), ("NOT __hold AND __label = 1", for_toxic), ("NOT __hold AND __label <> 1", for_clean))
+    made = [map_texts(rows.where(c), feature_maker(x), [("features", T.ArrayType(T.DoubleType()))], "__text", ["__key", "__label", "__hold"]) for c, x in parts]
+    every = made[0].unionByName(made[1]).unionByName(made[2])
+    got = every.orderBy(F.xxhash64("__key"), "__key", "features").limit(max_labelled).select("__label", "__hold", "features").collect()
     return lexicon, fit(np.array([r[2] for r in got], float), np.array([r[0] for r in got], float), np.array([r[1] for r in got], bool))
 
 
