@@ -14,7 +14,7 @@ from .text import is_blank, strip
 URL = r"https?://[!$-_a-z]+"
 EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 PHONES = (r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b", r"\b\(\d{3}\)\s*\d{3}[-.]?\d{4}\b", r"\b\+\d{1,3}[-.\s]?\d{1,4}[-.\s]?\d{1,4}[-.\s]?\d{1,9}\b")
-PHONES_STRICT = (PHONES[0], r"\(\d{3}\)\s*\d{3}[-.]?\d{4}\b", r"\+\d{1,3}[-.\s]?\(?\d{1,4}\)?[-.\s]?\d{1,4}[-.\s]?\d{1,9}\b")
+PHONES_STRICT = (r"\+\d{1,3}[-.\s]?\(?\d{1,4}\)?[-.\s]?\d{1,4}[-.\s]?\d{1,9}\b", r"\(\d{3}\)\s*\d{3}[-.]?\d{4}\b", PHONES[0])
 MIN_CLEANED = 50
 
 

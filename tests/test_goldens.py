@@ -16,7 +16,14 @@ def value(spark, column, text):
     return spark.createDataFrame([(text,)], "t string").select(column.alias("v")).first()[0]
 
 
-T = F.col("t")
+T = None
+
+
+@pytest.fixture(autouse=True)
+def column(spark):
+    """A column needs a session."""
+    global T
+    T = F.col("t")
 
 
 @pytest.mark.parametrize("text,rep,alpha", [("a " * 9, 0.0, None), ("a " * 10, 0.875, None), ("ab 1", None, 0.75), ("", 0.0, 0.0), (None, 0.0, 0.0)])
