@@ -44,9 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, ids_sha256 and decoded_sha256 of every document."""
     path = f"{TOKENIZERS}/byte_bpe_50k.json"
-    encoded = bpe.encode(docs, path, keep=["doc_id"])
-    decoded = bpe.decode(encoded, path)
-    return bpe.digests(decoded.withColumn("token_ids", F.col("ids"))).select("doc_id", "n_tokens", F.col("token_ids").alias("ids"), "ids_sha256", "decoded_sha256")
+    encoded = bpe.encode(docs, path, keep=["doc_id"], decoded="decoded")
+    return bpe.digests(encoded.withColumn("token_ids", F.col("ids"))).select("doc_id", "n_tokens", F.col("token_ids").alias("ids"), "ids_sha256", "decoded_sha256")
 
 
 STAGES = [

@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import release_memory, small_batches
 
 LEAF = 32_768
 #: Characters around a wanted cut that are searched for a boundary.
@@ -57,6 +57,10 @@ def encode_leaf(encoder: tiktoken.Encoding, text: str) -> list[int]:
     return encoder.encode(text, allowed_special="all", disallowed_special=())
 
 
+def decode_ids(encoder: tiktoken.Encoding, ids: bytes) -> str:
+    return encoder.decode_bytes(np.frombuffer(ids, "<u4").tolist()).decode("utf-8", "replace")
+
+
 def _kind(c: str) -> int:
     return _CLASS.match(c).lastindex
 
@@ -169,26 +173,34 @@ def as_ids(tokens: list[int]) -> bytes:
     return np.asarray(tokens, "<u4").tobytes()
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, leaf: int = LEAF) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, leaf: int = LEAF, decoded: str | None = None) -> DataFrame:
     """The kept columns (all but the text by default) and ids: the text's token ids as little-endian unsigned 32-bit.
 
+    decoded: the name of one more column, the text that the stored ids decode to, made in the same pass (see decode()).
     Special tokens' strings in a text get their ids; none are added. A null or empty text has no ids (an empty binary).
     Each row, repeated or not, is encoded on its own; a kept column named ids gives way. path must exist on every
     executor. Texts longer than `leaf` characters are cut, encoded in parallel and joined; the others stay where
     they are, without a shuffle.
     """
     small_batches(docs.sparkSession)
-    stay = [c for c in (keep if keep is not None else docs.columns) if c != "ids" and (keep is not None or c != text)]
+    stay = [c for c in (keep if keep is not None else docs.columns) if c not in ("ids", decoded) and (keep is not None or c != text)]
     source = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(stay)], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     kinds = dict(source.dtypes)
     kept = [f"k{i}" for i in range(len(stay))]
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in kept], "ids binary"])
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in kept], "ids binary", *["__decoded string"] * bool(decoded)])
+
+    def made(encoder, ids):
+        """The new columns of a list of ids."""
+        return [pa.array(ids, pa.binary()), *([pa.array([decode_ids(encoder, x) for x in ids], pa.string())] if decoded else [])]
+
+    names = [*kept, "ids", *["__decoded"] * bool(decoded)]
 
     def whole(batches):
         encoder, _ = load(path)
         for batch in batches:
             ids = [as_ids(encode_leaf(encoder, t)) for t in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())], names=[*kept, "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made(encoder, ids)], names=names)
+        release_memory()
 
     def cut(batches):
         _, special = load(path)
@@ -206,13 +218,15 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
             at = batch.schema.get_field_index("__part")
             ids = [as_ids(encode_leaf(encoder, t)) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, "__part", pa.array(ids, pa.binary()))
+        release_memory()
 
     def combine(table: pa.Table) -> pa.Table:
         encoder, _ = load(path)
         table = table.sort_by("__leaf")
         parts = [np.frombuffer(p, "<u4").tolist() for p in table["__part"].to_pylist()]
         ids = join_tree(encoder, parts, list(zip(table["__left"].to_pylist(), table["__right"].to_pylist())))
-        return table.slice(0, 1).select(kept).append_column("ids", pa.array([as_ids(ids)], pa.binary()))
+        first = table.slice(0, 1)
+        return pa.table([*[first[c] for c in kept], *made(encoder, [as_ids(ids)])], names=names)
 
     own = ", ".join(f"`{c}` {kinds[c]}, " for c in kept).replace(", , ", ", ")
     short = source.where(F.length("__text") <= leaf).mapInArrow(whole, schema)
@@ -226,7 +240,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
         .groupBy("__row")
         .applyInArrow(combine, schema)
     )
-    return short.unionByName(long).select(*[F.col(c).alias(name) for c, name in zip(kept, stay)], "ids")
+    return short.unionByName(long).select(*[F.col(c).alias(name) for c, name in zip(kept, stay)], "ids", *([F.col("__decoded").alias(decoded)] if decoded else []))
 
 
 def decode(encoded: DataFrame, path: str, column: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -240,7 +254,7 @@ def decode(encoded: DataFrame, path: str, column: str = "decoded", keep: list[st
     def run(batches):
         encoder, _ = load(path)
         for batch in batches:
-            texts = [None if ids is None else encoder.decode_bytes(np.frombuffer(ids, "<u4").tolist()).decode("utf-8", "replace") for ids in batch.column(len(stay)).to_pylist()]
+            texts = [None if ids is None else decode_ids(encoder, ids) for ids in batch.column(len(stay)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*[f"k{i}" for i in range(len(stay))], "__out"])
 
     schema = ", ".join([*[f"k{i} {kinds[f'k{i}']}" for i in range(len(stay))], "__out string"])

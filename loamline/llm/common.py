@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -40,6 +43,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def release_memory() -> None:
+    """Give a worker's free memory back to the system, so that workers kept for later tasks stay small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def crc_of_id(column: Column) -> Column:
     """crc32 of an id as text, unsigned; null ids count as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
@@ -72,6 +85,8 @@ def map_texts(
                 [*[batch.column(i) for i in range(len(stay))], *[pa.array(out[n], type=kinds[n]) for n in new]],
                 names=[*stay, *new],
             )
+        del function
+        release_memory()
 
     return source.mapInArrow(run, schema)
 
@@ -83,7 +98,7 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 class BoundedCache(dict):
     """Word → value, computed once by `rule` and forgotten when `limit` words are held; bounds a worker's memory."""
 
-    def __init__(self, rule: Callable, limit: int = 400_000):
+    def __init__(self, rule: Callable, limit: int = 200_000):
         super().__init__()
         self.rule, self.limit = rule, limit
 

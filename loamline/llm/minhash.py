@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, materialise, small_batches
+from .common import BoundedCache, materialise, release_memory, small_batches
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xBF58476D1CE4E5B9)
@@ -108,6 +108,8 @@ def signatures(docs: DataFrame, settings: Settings, key: str, text: str) -> Data
                 bands.append(None if minima is None else band_keys(minima, settings))
                 cache.trim()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.list_(pa.int32())), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_key", "signature", "bands"])
+        del cache
+        release_memory()
 
     source = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, n_shingles long, set_key binary, signature array<int>, bands array<long>")
@@ -128,6 +130,8 @@ def shingles_of(docs: DataFrame, ids: DataFrame, settings: Settings, key: str, t
                 sets.append(shingle_set(word_hashes(t, cache), settings.shingle).view(np.int64))
                 cache.trim()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+        del cache
+        release_memory()
 
     source = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     few = ids.count() <= settings.broadcast_ids

@@ -97,8 +97,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document under the byte-level BPE vocabulary."""
     path = f"{TOKENIZERS}/byte_bpe_50k.json"
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    return bpe.digests(bpe.decode(encoded, path))
+    return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"], decoded="decoded"))
 
 
 QUERIES = {
