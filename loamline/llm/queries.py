@@ -105,4 +105,25 @@ QUERIES = {
     for f in (op1_quality, op2_mpeg, op3_toxicity, op4_licences, op5_mixing, op6_shards, op7_rules, op8_token_counts, op9_near_duplicates, op10_bpe)
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIX_SHARE, mixing.TARGETS)}
+RULES_SQL = r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+g AS (SELECT r, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS tri FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, tri) AS n FROM g) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range(3) t(k) GROUP BY r),
+m AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines, length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS n_upper,
+  len(list_filter(w, lambda x: NOT regexp_matches(x, '[\pL\pN]'))) AS n_bare FROM d LEFT JOIN rep ON d.r = rep.r),
+f AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (4 * n_symbols > n_words)::BIGINT + 8 * (2 * n_upper > word_chars)::BIGINT
+  + 16 * (2 * n_dup_lines > n_lines)::BIGINT + 32 * (10 * n_bare > 3 * n_words)::BIGINT + 64 * (word_chars > 30 * n_words OR word_chars < 2 * n_words)::BIGINT AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed & 15 = 0 AS kept, failed FROM f"""
+
+#: All pairs of nearly equal size, compared on whole sets; the components by a closure.
+NEAR_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, len(list_intersect(a.s, b.s)) AS n, len(a.s) + len(b.s) AS m FROM s a JOIN s b ON a.doc_id < b.doc_id AND len(a.s) > 0 AND 100 * len(a.s) >= 80 * len(b.s) AND 100 * len(b.s) >= 80 * len(a.s)),
+e AS (SELECT a, b FROM c WHERE 100 * n >= 80 * (m - n) UNION ALL SELECT b, a FROM c WHERE 100 * n >= 80 * (m - n)),
+reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+least AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(root, s.doc_id) AS component_id, s.doc_id = coalesce(root, s.doc_id) AS kept FROM s LEFT JOIN least ON s.doc_id = least.a"""
+
+ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIX_SHARE, mixing.TARGETS), "op7_rules": RULES_SQL, "op9_near_duplicates": NEAR_SQL}
