@@ -49,7 +49,8 @@ def exact_dedup(df: DataFrame, order: Sequence[str] = ("doc_id",), text: str = "
 
     Null texts are a group of their own. Only hash and order columns are shuffled by the window's groups: a first row is
     found by a partial aggregation, so a text that fills a third of the table does not meet in one task. Rows that are equal in
-    text and order columns are told apart by their place in the scan.
+    text and order columns are told apart by their place in the scan; if df may have such rows, it should be a scan or a
+    written table, whose places do not change between its two uses here.
     """
     tagged = df.withColumn("text_sha256", F.sha2(F.col(text), 256)).withColumn("__at", F.monotonically_increasing_id())
     place = F.struct(*order, "__at")
