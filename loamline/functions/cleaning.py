@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .language import detect_language, fix_encoding
 from .text import is_blank, strip
 
 # The character sets and shapes that count as URL, e-mail address and telephone number. The two last
@@ -28,6 +29,8 @@ class CleanConfig:
     min_line_length: int = 0
     languages: tuple[str, ...] = field(default_factory=tuple)
     compat: bool = True
+    fix_encoding: bool = False
+    detect_language: bool = False
 
 
 def remove_urls(c: Column) -> Column:
@@ -61,6 +64,7 @@ def remove_short_lines(c: Column, least: int) -> Column:
 
 def clean_expression(c: Column, config: CleanConfig = CleanConfig()) -> Column:
     for wanted, step in (
+        (config.fix_encoding, fix_encoding),
         (config.remove_urls, remove_urls),
         (config.remove_emails, remove_emails),
         (config.remove_phones, lambda x: remove_phones(x, config.compat)),
@@ -76,12 +80,15 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig(), text: str = "text"
     """Add cleaned, original_length, cleaned_length, reduction_ratio, cleaning_success and cleaning_reason to every row.
 
     Reasons: empty_text (null or blank), language (a known language that is not wanted), too_short (under 50 characters
-    once cleaned); null on success. Failed rows stay, with their cleaned text.
+    once cleaned); null on success. Failed rows stay, with their cleaned text. With detect_language the language is
+    guessed from the cleaned text (column `language`) instead of read from `lang`; unknown ones pass.
     """
     out = df.withColumn("cleaned", clean_expression(F.coalesce(F.col(text), F.lit("")), config))
     out = out.withColumn("original_length", F.length(F.coalesce(F.col(text), F.lit("")))).withColumn("cleaned_length", F.length("cleaned"))
     ratio = F.when(F.col("original_length") == 0, 0.0).otherwise((F.col("original_length") - F.col("cleaned_length")) / F.col("original_length"))
     reasons = [F.when(is_blank(F.col(text)), F.lit("empty_text"))]
+    if config.detect_language:
+        out, lang = out.withColumn("language", detect_language(F.col("cleaned"))), "language"
     if config.languages and lang:
         known = F.coalesce(F.col(lang), F.lit("unknown"))
         reasons.append(F.when((known != "unknown") & ~known.isin(list(config.languages)), F.lit("language")))

@@ -75,6 +75,16 @@ def matches(c: Column, pattern: str) -> Column:
     return F.coalesce(F.aggregate(pairs, start, step, lambda acc: acc["out"]), F.expr("cast(array() as array<struct<text:string,start:int,end:int>>)"))
 
 
+def detections(c: Column, config: FilterConfig) -> Column:
+    """array<struct<pattern,text,start,end>> of all patterns' matches, in the patterns' order; patterns cut to 50
+    characters and matched texts to 100."""
+    parts = []
+    for pattern in config.valid_patterns() if config.enabled else []:
+        name = F.lit(pattern[:50])
+        parts.append(F.transform(matches(c, pattern), lambda m, name=name: F.struct(name.alias("pattern"), F.left(m["text"], F.lit(100)).alias("text"), m["start"].alias("start"), m["end"].alias("end"))))
+    return F.concat(*parts) if parts else F.expr("cast(array() as array<struct<pattern:string,text:string,start:int,end:int>>)")
+
+
 def snap_before(text: str, at: int) -> int:
     """The nearest paragraph start before a place, or sentence start, or the place itself."""
     paragraph = text.rfind("\n\n", max(0, at - PARAGRAPH_REACH), at)

@@ -96,6 +96,13 @@ def consecutive_overlap(df: DataFrame, order: Sequence[str], partition: Sequence
     return out.select(*keys, "overlap_chars", word_count(F.when(F.col("overlap_chars") > 0, F.right(F.col(text), F.col("overlap_chars")))).alias("overlap_words"))
 
 
+def quick_overlap(df: DataFrame, order: str, text: str = "text", reach: int = 100, most: int = 80) -> DataFrame:
+    """has_overlap: whether a suffix (up to `most` characters) of the first row starts the second; null with fewer than two rows."""
+    pair = df.select(order, text).orderBy(order).limit(2).agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("p"))  # two rows
+    a, b = F.get("p", F.lit(0))[text], F.get("p", F.lit(1))[text]
+    return pair.select(F.when(F.size("p") == 2, overlap_length(F.right(a, F.lit(reach)), b, most, 1) > 0).alias("has_overlap"))
+
+
 def sampled_pairs(df: DataFrame, order: str, n: int = 5) -> DataFrame:
     """The rows at the first, middle and last n places of the table's order, where overlaps are sampled."""
     from loamline.operators.shards import row_numbers

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamline.session import shared_folder
@@ -99,3 +99,9 @@ def shard_metadata(placed: DataFrame, compression: str = "snappy", created: Colu
     return placed.agg(F.count("*").alias("total_chunks"), F.count_distinct("shard_index").alias("total_shards")).select(
         "total_chunks", "total_shards", F.lit(compression).alias("compression"), (created if created is not None else F.lit(None).cast("timestamp")).alias("created_at"), kinds.alias("schema")
     )
+
+
+def list_shards(spark: SparkSession, path: str) -> DataFrame:
+    """path, size and modification time of the shard files, by name; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", F.col("length").alias("bytes"), "modificationTime").orderBy("path")

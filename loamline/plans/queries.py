@@ -247,7 +247,11 @@ def jaccard_links(spark, d):
     return de.verified_links(docs(spark, d), de.lsh_first_links(_lsh(spark, d)), 0.8).withColumn("jaccard", F.round("jaccard", 9))
 
 
-@query()
+@query(f"""WITH RECURSIVE {S_LINKS}, shared AS (SELECT band, bucket FROM k GROUP BY band, bucket HAVING count(*) > 1),
+d AS (SELECT doc_id, list(k.band || ':' || k.bucket) AS b, row_number() OVER (ORDER BY doc_id) AS i FROM k JOIN shared USING (band, bucket) GROUP BY doc_id),
+walk AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS kept, NULL::BIGINT AS fallen
+  UNION ALL SELECT w.i + 1, CASE WHEN list_has_any(w.kept, d.b) THEN w.kept ELSE list_concat(w.kept, d.b) END, CASE WHEN list_has_any(w.kept, d.b) THEN d.doc_id END FROM walk w JOIN d ON d.i = w.i + 1)
+SELECT doc_id, doc_id IN (SELECT fallen FROM walk WHERE fallen IS NOT NULL) AS is_near_duplicate FROM documents""")
 def near_dedup(spark, d):
     return de.near_dedup(docs(spark, d))
 
@@ -292,6 +296,13 @@ def filter_positions(spark, d):
     return m.select("doc_id", F.size("m").cast("long").alias("n"), F.get("m", F.lit(0))["start"].cast("long").alias("first_start"), F.array_join(F.transform("m", lambda x: x["text"]), " ").alias("found"))
 
 
+@query(rf"""WITH m AS (SELECT doc_id, {' , '.join(f"regexp_extract_all(text, '(?im){p}') AS m{i}" for i, p in enumerate(PATTERNS))} FROM documents)
+SELECT doc_id, len(m0) + len(m1) + len(m2) + len(m3) AS n, array_to_string(list_transform(list_concat(list_concat(m0, m1), list_concat(m2, m3)), lambda x: left(x, 100)), '|') AS found FROM m""")
+def filter_match_list(spark, d):
+    m = docs(spark, d).select("doc_id", gu.detections(F.col("text"), _filter("flag")).alias("m"))
+    return m.select("doc_id", F.size("m").cast("long").alias("n"), F.array_join(F.transform("m", lambda x: x["text"]), "|").alias("found"))
+
+
 @query()
 def filter_retroactive(spark, d):
     chunks = ch.chunk(docs(spark, d).select("doc_id", "text"), ch.ChunkConfig("fixed", 50, 200, 0))
@@ -452,6 +463,41 @@ def sft_by_category(spark, d):
     return an.count_by(sft_records(spark, d))
 
 
+@query("SELECT '' || conv_id AS id, text, 'general' AS niche FROM conversations")
+def annotation_tasks(spark, d):
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("id"), "text", F.lit(None).cast("string").alias("niche"))
+    return an.task_records(rows).select("data.id", "data.text", "data.niche")
+
+
+@query("SELECT doc_id, lang AS language, n_chars AS char_count, CASE WHEN n_chars > 500 THEN n_chars / 10.0::DOUBLE END AS readability_score FROM documents")
+def flat_records(spark, d):
+    metrics = F.struct(F.when(F.col("n_chars") > 500, F.col("n_chars") / 10.0).alias("readability_score"))
+    nested = docs(spark, d).select("doc_id", F.struct(F.col("lang").alias("language"), F.col("n_chars").alias("char_count"), metrics.alias("quality_metrics")).alias("metadata"))
+    return sh.flatten(nested)
+
+
+@query("SELECT right(left(a, 100000), 1) IS NOT NULL AND len(list_filter(range(1, 81), lambda n: n <= length(a) AND n <= length(b) AND right(a, n) = left(b, n))) > 0 AS has_overlap FROM (SELECT (SELECT text FROM documents ORDER BY doc_id LIMIT 1) AS a, (SELECT text FROM documents ORDER BY doc_id LIMIT 1 OFFSET 1) AS b)")
+def quick_overlap(spark, d):
+    return pr.quick_overlap(docs(spark, d), "doc_id")
+
+
+@query("WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS t FROM documents) SELECT doc_id FROM n WHERE i < 5 OR i BETWEEN t // 2 - 2 AND t // 2 + 2 OR (i >= t - 6 AND i < t - 1)")
+def sampled_pairs(spark, d):
+    return pr.sampled_pairs(docs(spark, d).select("doc_id"), "doc_id").select("doc_id")
+
+
+@query("SELECT 'documents' AS stage, count(*) AS n, round(avg(length(text)), 6) AS mean_chars FROM documents UNION ALL SELECT 'benchmark', count(*), round(avg(length(text)), 6) FROM benchmark")
+def stage_counts(spark, d):
+    return pr.stage_counts({"documents": docs(spark, d), "benchmark": table(spark, d, "benchmark")}).withColumn("mean_chars", F.round("mean_chars", 6))
+
+
+@query("SELECT '/in/' || page_id || '.' || s AS source_path, CASE s WHEN 'txt' THEN 'text' WHEN 'HTM' THEN 'html' ELSE 'unknown' END AS file_type, s <> 'bin' AS success FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'HTM' WHEN 1 THEN 'txt' ELSE 'bin' END AS s FROM pages)")
+def extract_files(spark, d):
+    suffix = F.when(F.col("page_id") % 3 == 0, "HTM").when(F.col("page_id") % 3 == 1, "txt").otherwise("bin")
+    files = table(spark, d, "pages").select(F.concat(F.lit("/in/"), "page_id", F.lit("."), suffix).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    return ex.extract_files(files).select("source_path", "file_type", "success")
+
+
 @query()
 def html_text(spark, d):
     return table(spark, d, "pages").select("page_id", "url", ex.html_text(F.col("html")).alias("text"))

@@ -140,6 +140,11 @@ def scan_files(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
+def scan_file(spark: SparkSession, path: str) -> DataFrame:
+    """The row of a single file."""
+    return spark.read.format("binaryFile").load(path)
+
+
 def extract_files(files: DataFrame, extracted: Column | None = None) -> DataFrame:
     """source_path, filename, file_type, text, success, text_length and extraction_timestamp of each file.
 

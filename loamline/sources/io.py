@@ -43,3 +43,8 @@ def write_json_lines(records: DataFrame, path: str, by: str | None = None) -> No
 def join_sidecars(bodies: DataFrame, metadata: DataFrame, stem: str = "stem") -> DataFrame:
     """Text rows with their metadata rows, by stem; rows without metadata drop out."""
     return bodies.join(metadata, stem, "inner")
+
+
+def write_successful(rows: DataFrame, path: str, success: str, text: str = "text") -> None:
+    """Rows of a stage that succeeded and have a text, as Parquet."""
+    rows.where(F.col(success) & F.col(text).isNotNull() & (F.col(text) != "")).write.mode("overwrite").parquet(path)
