@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.llm import bpe, minhash, mixing, rules, toxicity
-from loamline.llm.common import crc_of_id, materialise, read, shared_dir
+from loamline.llm.common import crc_of_id, read, shared_dir
 from loamline.llm.queries import TOKENIZERS
 
 #: Share of the tokens that reach the mixing stage and stay, in expectation.
@@ -31,9 +31,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class of near-duplicates (5-word shingles, 0.8)."""
-    kept = minhash.near_duplicates(docs, minhash.Settings(shingle=5, percent=80)).where("kept").select("doc_id").distinct()
-    return docs.join(materialise(kept, "kept-ids"), "doc_id", "left_semi").select(docs.columns)
+    """One document, that with the least id, of each class of near-duplicates (5-word shingles, 0.8)."""
+    return minhash.drop_near_duplicates(docs, minhash.Settings(shingle=5, percent=80)).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

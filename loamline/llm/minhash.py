@@ -274,3 +274,22 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     own = by_set.select("doc_id", "n_shingles", F.coalesce("root", "id").alias("component_id"))
     rest = rows.where("set_key IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).alias("component_id"))
     return own.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, one of each class of near-duplicates: the one with the least id.
+
+    Of rows that repeat an id the least row stays (by text, then the other columns). Rows with a null id all stay, since
+    nothing names them. Texts without words are kept. The columns are those of docs.
+    """
+    kept = near_duplicates(docs, settings, key, text).where("kept").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("__n"))
+    kept = materialise(kept, "kept-ids")
+    once = docs.join(kept.where("__n = 1").select(key), key, "left_semi")
+    unnamed = docs.where(F.col(f"`{key}`").isNull())
+    out = once.select(docs.columns).unionByName(unnamed)
+    repeated = kept.where("__n > 1").select(key)
+    if not repeated.isEmpty():
+        order = [text, *[c for c in docs.columns if c not in (key, text)]]
+        least = docs.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*order)).alias("__row"))
+        out = out.unionByName(least.select(key, "__row.*").select(docs.columns))
+    return out

@@ -99,3 +99,10 @@ def test_short_texts_are_one_shingle(spark):
     df = spark.createDataFrame([(1, "One two"), (2, "one  TWO"), (3, "two one"), (4, "x"), (5, "x"), (6, "É x"), (7, "é x")], "doc_id long, text string")
     got = as_dict(M.near_duplicates(df, M.Settings(shingle=5)))
     assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 4), 5: (1, 4), 6: (1, 6), 7: (1, 7)}
+
+
+def test_drop_keeps_one_of_each(spark, odd, none):
+    out = M.drop_near_duplicates(odd, M.Settings(shingle=2)).collect()
+    assert sorted((r.doc_id or 0) for r in out) == [0, 1, 2, 3, 5, 6, 7, 8] and M.drop_near_duplicates(none).count() == 0
+    df = spark.createDataFrame([(1, "b c d", 2), (1, "b c d", 1), (1, "x y z", 0), (2, "b c d", 0)], "doc_id long, text string, n int")
+    assert [tuple(r) for r in M.drop_near_duplicates(df).collect()] == [(1, "b c d", 1)]
