@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.session import shared_folder
+from loamline.session import materialise
 
 PRIME = (1 << 31) - 1
 
@@ -106,7 +105,9 @@ def lsh_members(signatures: DataFrame, bands: int, rows: int, key: str = "doc_id
 
 
 def lsh_first_links(members: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Distinct (first, key): each member of a shared bucket with the bucket's first member. Pairs within a bucket are not expanded."""
+    """Distinct (first, key): each member of a shared bucket with the bucket's first member. Pairs within a bucket are not expanded.
+
+    members is used twice, so it should be a written table."""
     firsts = members.groupBy("band", "bucket").agg(F.min(key).alias("first"), F.count("*").alias("n")).where("n > 1")
     return members.join(firsts, ["band", "bucket"]).where(F.col(key) != F.col("first")).select("first", key).distinct()
 
@@ -133,27 +134,20 @@ def greedy_near_dedup(members: DataFrame, key: str = "doc_id", limit: int = 200)
     sequential rule does; removed keys then no longer stand before others. No pairs are made. The rest of each round is a
     table in the shared folder; rounds end when no key is undecided.
     """
-    spark = members.sparkSession
-    folder = f"{shared_folder(spark)}/loamline/greedy-{uuid.uuid4().hex}"
-
-    def settle(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
-
     shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    rest = settle(members.join(shared, ["band", "bucket"]), "0")
+    rest = materialise(members.join(shared, ["band", "bucket"]), "greedy")
     fallen: DataFrame | None = None
-    for i in range(1, limit):
+    for _ in range(limit):
         if rest.isEmpty():
             break
         firsts = rest.groupBy("band", "bucket").agg(F.min(key).alias("first"))
         placed = rest.join(firsts, ["band", "bucket"])
         kept = placed.groupBy(key).agg(F.min((F.col(key) == F.col("first")).cast("int")).alias("all")).where("all = 1").select(key)
         won = rest.join(kept, key, "left_semi").select("band", "bucket").distinct()
-        lost = settle(rest.join(won, ["band", "bucket"], "left_semi").select(key).distinct().join(kept, key, "left_anti"), f"lost-{i}")
+        lost = materialise(rest.join(won, ["band", "bucket"], "left_semi").select(key).distinct().join(kept, key, "left_anti"), "greedy-lost")
         fallen = lost if fallen is None else fallen.unionByName(lost)
         left = rest.join(kept, key, "left_anti").join(lost, key, "left_anti")
-        rest = settle(left, str(i))
+        rest = materialise(left, "greedy")
     else:
         raise RuntimeError("undecided keys remain")
     return fallen if fallen is not None else members.select(key).limit(0)
@@ -162,7 +156,7 @@ def greedy_near_dedup(members: DataFrame, key: str = "doc_id", limit: int = 200)
 def near_dedup(df: DataFrame, config: LshConfig = LshConfig(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and is_near_duplicate for every distinct key of df under the greedy rule on LSH buckets."""
     bands, rows = config.split()
-    members = lsh_members(minhash(df, config.permutations, key, text), bands, rows, key).distinct()
+    members = materialise(lsh_members(minhash(df, config.permutations, key, text), bands, rows, key).distinct(), "members")
     fallen = greedy_near_dedup(members, key).withColumn("__out", F.lit(True))
     return df.select(key).distinct().join(fallen, key, "left").select(key, F.coalesce("__out", F.lit(False)).alias("is_near_duplicate"))
 

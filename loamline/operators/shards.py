@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamline.session import shared_folder
+from loamline.session import materialise
 
 # The column presets of a shard.
 PRESETS: dict[str, tuple[str, ...]] = {
@@ -59,9 +58,7 @@ def row_numbers(df: DataFrame, order: str) -> DataFrame:
     Rows are dealt by range, ranked within their partition, and shifted by the rows of the partitions before. The dealt
     rows are a table in the shared folder: ranges come from a sample, and a second one could differ.
     """
-    path = f"{shared_folder(df.sparkSession)}/loamline/ranges-{uuid.uuid4().hex}"
-    df.repartitionByRange(order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
-    dealt = df.sparkSession.read.parquet(path)
+    dealt = materialise(df.repartitionByRange(order).withColumn("__part", F.spark_partition_id()), "ranges")
     ranked = dealt.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(order)))
     counts = ranked.groupBy("__part").agg(F.count("*").alias("__n"))
     before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # one row a partition

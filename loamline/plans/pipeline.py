@@ -1,6 +1,6 @@
 """The preparation pipeline: extract or take documents, clean, chunk, deduplicate, gate, shard and export.
 
-Everything is one lazy chain; every dropped row keeps its stage and reason.
+Every dropped row keeps its stage and reason.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from loamline.operators.annotate import CATEGORIES, annotation_records, categori
 from loamline.operators.dedup import LshConfig, exact_dedup, near_dedup
 from loamline.operators.guard import FilterConfig, apply_filter
 from loamline.operators.shards import ShardConfig, write_shards
+from loamline.session import materialise
 from loamline.sources.io import write_json_lines
 
 
@@ -53,12 +54,13 @@ def gate_chunks(chunks: DataFrame, config: PipelineConfig, order: tuple[str, ...
     """Every chunk with its metrics, `stage` and `reason`, null for kept ones.
 
     Order of the checks: content filter, least length, exact duplicate, near duplicate, quality. A hash counts as seen
-    from the length check on, so a copy of a chunk that fails later is still an exact duplicate.
+    from the length check on, so a copy of a chunk that fails later is still an exact duplicate. The chunks are written to
+    the shared folder first, since several checks read them.
     """
     rows = apply_filter(chunks, config.filter, "filtering")
     early = F.when(F.col("filter_action") == "rejected", F.struct(F.lit("filter").alias("stage"), F.lit("rejected").alias("reason")))
     early = early.when(F.length(F.coalesce("text", F.lit(""))) < config.quality.min_text_length, F.struct(F.lit("length").alias("stage"), F.lit("too_short").alias("reason")))
-    rows = rows.withColumn("__early", early)
+    rows = materialise(rows.withColumn("__early", early), "chunks")
     passed = exact_dedup(rows.where("__early IS NULL"), order)
     failed = rows.where("__early IS NOT NULL").withColumn("text_sha256", F.sha2("text", 256)).withColumn("is_duplicate", F.lit(False))
     if config.lsh is not None:

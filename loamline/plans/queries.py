@@ -16,6 +16,7 @@ from loamline.operators import guard as gu
 from loamline.operators import profile as pr
 from loamline.operators import shards as sh
 from loamline.plans import pipeline as pl
+from loamline.session import materialise
 from loamline.sources import extract as ex
 
 W = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -232,7 +233,7 @@ def minhash_signature(spark, d):
 
 
 def _lsh(spark, d):
-    return de.lsh_members(de.minhash(docs(spark, d)), *de.LshConfig().split())
+    return materialise(de.lsh_members(de.minhash(docs(spark, d)), *de.LshConfig().split()), "members")
 
 
 @query(f"WITH {S_LINKS} SELECT first, doc_id FROM links")

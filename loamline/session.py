@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "loamline", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,3 +31,11 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="loamline-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet in the shared folder and read it again: what is used several times is made once, and a
+    lost executor costs no more than its own tasks."""
+    path = f"{shared_folder(df.sparkSession)}/loamline/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
