@@ -256,7 +256,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     usable = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     sets = usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     sets = materialise(sets, "distinct-sets")
-    members = materialise(sets.select("id", F.explode("bands").alias("bucket")).distinct(), "bands")
+    members = sets.select("id", F.explode("bands").alias("bucket"))  # cheap to make twice, large to store
     several = members.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     shared = materialise(members.join(several.select("bucket", "least"), "bucket"), "shared-buckets")
     pairs = shared.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
