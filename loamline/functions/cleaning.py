@@ -84,7 +84,7 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig(), text: str = "text"
     guessed from the cleaned text (column `language`) instead of read from `lang`; unknown ones pass.
     """
     out = df.withColumn("cleaned", clean_expression(F.coalesce(F.col(text), F.lit("")), config))
-    out = out.withColumn("original_length", F.length(F.coalesce(F.col(text), F.lit("")))).withColumn("cleaned_length", F.length("cleaned"))
+    out = out.withColumn("original_length", F.length(F.coalesce(F.col(text), F.lit(""))).cast("long")).withColumn("cleaned_length", F.length("cleaned").cast("long"))
     ratio = F.when(F.col("original_length") == 0, 0.0).otherwise((F.col("original_length") - F.col("cleaned_length")) / F.col("original_length"))
     reasons = [F.when(is_blank(F.col(text)), F.lit("empty_text"))]
     if config.detect_language:
