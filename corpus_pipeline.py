@@ -36,8 +36,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with raked source, language and topic marginals."""
-    return mixing.mix(docs, SHARE).where("kept").select(docs.columns)
+    """A sample whose expected source, language and topic marginals meet the targets as far as SHARE leaves them reachable."""
+    return mixing.mix(docs, SHARE, capped=True).where("kept").select(docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

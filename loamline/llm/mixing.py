@@ -17,6 +17,9 @@ DIMENSIONS = ("source", "lang", "topic")
 TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.5}
 ROUNDS = 6
 CALIBRATIONS = 12
+#: Raking under caps: blocks of rounds at most, and the gap of a marginal, as a share of all tokens, that ends them.
+CAPPED_BLOCKS = 8
+CAPPED_GAP = 1e-6
 #: Cells up to this many are broadcast to the documents; beyond, the join is shuffled and skewed keys are split.
 BROADCAST_CELLS = 200_000
 
@@ -39,6 +42,16 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
+def _weight(name: str, target: float | Mapping[str, float], held: Column) -> Column:
+    """The target weight of a dimension's value that holds `held` tokens."""
+    if isinstance(target, Mapping):
+        share = F.lit(0.0)
+        for value, s in target.items():
+            share = F.when(F.col(name).eqNullSafe(F.lit(value)), F.lit(float(s))).otherwise(share)
+        return share
+    return F.when(held > 0, F.pow(held.cast("double"), F.lit(float(target)))).otherwise(0.0)
+
+
 def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, rounds: int = ROUNDS) -> DataFrame:
     """Add `factor`: raked tokens over tokens, from `rounds` fits of each dimension in turn.
 
@@ -50,13 +63,7 @@ def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] =
     totals = {}
     for name, target in targets.items():
         # the share of each value, on every cell
-        held = F.sum("tokens").over(Window.partitionBy(name))
-        if isinstance(target, Mapping):
-            share = F.lit(0.0)
-            for value, s in target.items():
-                share = F.when(F.col(name).eqNullSafe(F.lit(value)), F.lit(float(s))).otherwise(share)
-        else:
-            share = F.when(held > 0, F.pow(held.cast("double"), F.lit(float(target)))).otherwise(0.0)
+        share = _weight(name, target, F.sum("tokens").over(Window.partitionBy(name)))
         totals[name] = share
     for name, share in totals.items():
         out = out.withColumn(f"__{name}", share).withColumn(f"__first_{name}", F.row_number().over(Window.partitionBy(name).orderBy(*[c for c in targets])) == 1)
@@ -94,13 +101,79 @@ def calibrate(cells: DataFrame, share: float, rounds: int = CALIBRATIONS) -> flo
     return c
 
 
-def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, key: str = "doc_id", text: str = "text", seed: str = "mix", rounds: int = ROUNDS) -> DataFrame:
+def rake_capped(cells: DataFrame, share: float, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, rounds: int = ROUNDS, blocks: int = CAPPED_BLOCKS) -> DataFrame:
+    """Add `probability`: raking of the expected kept tokens, where no cell gives more than it holds.
+
+    A value's aim is its target share of the kept tokens, or all its tokens where they are fewer; what is missing then goes to the
+    other values in proportion to their targets. Each step multiplies the cells of a value by the number for which their
+    tokens·min(1, factor) sum to the aim, so the caps count while raking. Blocks of `rounds` end when every aim is met
+    within CAPPED_GAP of all tokens, or after `blocks` where the aims contradict each other; marginals() shows what is left.
+    """
+    cells = materialise(cells, "cells")
+    names, columns = list(targets), cells.columns
+    held = {n: F.sum("tokens").over(Window.partitionBy(n)) for n in names}
+    out = cells.select("*", *[_weight(n, targets[n], held[n]).alias(f"__{n}") for n in names])
+    allowed = F.col("tokens") > 0
+    for n in names:
+        allowed = allowed & (F.col(f"__{n}") > 0)
+    out = out.withColumn("t", F.when(allowed, F.col("tokens")).otherwise(0).cast("double"))
+    few = cells.count() <= BROADCAST_CELLS
+    out = materialise(out.withColumn("f", F.when(allowed, F.lit(float(share))).otherwise(0.0)), "capped")
+    sums = out.agg(F.sum("tokens").alias("all"), F.sum("t").alias("t")).first()
+    if not sums["t"]:
+        return cells.withColumn("probability", F.lit(0.0))
+    part, aims = min(1.0, share * sums["all"] / sums["t"]), {}
+    for n in names:
+        values = out.groupBy(n).agg(F.sum("t").alias("tokens"), F.first(f"__{n}").alias("w")).where("tokens > 0").withColumn("factor", F.col("w") / F.col("tokens"))
+        aims[n] = calibrate(values, part, rounds=1000)
+    out = out.select("*", *[F.least(F.sum("t").over(Window.partitionBy(n)), F.col(f"__{n}") * F.lit(float(aims[n]))).alias(f"__aim_{n}") for n in names])
+    order = [F.col(n) for n in names]
+    for _ in range(blocks):
+        if few:
+            out = out.coalesce(1)  # the windows need no shuffle
+        for _ in range(rounds):
+            for n in names:
+                # with the cells of greatest factor capped, the others need (aim - capped) / rest: the greatest of these is right
+                down = Window.partitionBy(n).orderBy(F.col("f").desc(), *order)
+                full = F.coalesce(F.sum("t").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+                rest = F.sum(F.col("t") * F.col("f")).over(down.rowsBetween(0, Window.unboundedFollowing))
+                out = out.withColumn("__need", F.when(rest > 0, (F.col(f"__aim_{n}") - full) / rest))
+                most = F.coalesce(F.max("__need").over(Window.partitionBy(n)), F.lit(1.0))
+                out = out.withColumn("f", F.col("f") * F.greatest(most, F.lit(0.0))).drop("__need")
+        out = materialise(out, "capped")
+        kept = F.sum(F.col("t") * F.least(F.lit(1.0), F.col("f")))
+        gaps = [out.groupBy(n).agg(F.abs(kept - F.first(f"__aim_{n}")).alias("gap")).agg(F.max("gap")).first()[0] for n in names]
+        if max(gaps) <= CAPPED_GAP * sums["all"]:
+            break
+    return out.select(*columns, F.when(F.col("t") > 0, F.least(F.lit(1.0), F.col("f"))).otherwise(0.0).alias("probability"))
+
+
+def marginals(mixed: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS) -> DataFrame:
+    """dimension, value, tokens, target, expected and kept shares, and reachable: whether the value holds as many tokens as its
+    target share of the expected kept tokens. mixed: the rows of mix(), read once a dimension."""
+    parts = []
+    for n, target in targets.items():
+        chance = F.coalesce("probability", F.lit(0.0))
+        by = mixed.groupBy(n).agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * chance).alias("e"), F.sum(F.when(F.col("kept"), F.col("tokens")).otherwise(0)).alias("k"))
+        by = materialise(by.withColumn("w", _weight(n, target, F.col("tokens"))), "marginals")
+        s = by.agg(F.sum("w"), F.sum("e"), F.sum("k")).first()
+        aim, e, k = [F.col(c) / F.lit(float(x)) if x else F.lit(0.0) for c, x in zip(("w", "e", "k"), s)]
+        parts.append(by.select(F.lit(n).alias("dimension"), F.col(n).cast("string").alias("value"), "tokens", aim.alias("target"), e.alias("expected"), k.alias("kept"), (F.col("tokens") >= aim * F.lit(float(s[1] or 0))).alias("reachable")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, key: str = "doc_id", text: str = "text", seed: str = "mix", rounds: int = ROUNDS, capped: bool = False) -> DataFrame:
     """Every row of docs with its topic (made from the text unless docs has one), tokens, probability and kept.
 
     Tokens are summed per cell of the targets' dimensions before they are shuffled, and the cells are raked. A document is kept
     where the uniform number of its key is below its cell's probability, so runs agree and repeated rows share a fate.
     Null source, language or topic is a value of its own; null and empty texts have 0 tokens and take their cell's
     probability (0 in a cell without tokens). Other columns stay; input columns named as a new one give way.
+    capped: rake under the caps (rake_capped), so that the kept tokens meet all targets that `share` leaves reachable; without
+    it the caps come after the raking, as in oracle().
     """
     if not 0 < share <= 1:
         raise ValueError("share must be above 0 and at most 1")
@@ -110,9 +183,13 @@ def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mappi
         rows = rows.withColumn("topic", topic_of(F.col(text)))
     dims = list(targets)
     cells = rows.groupBy(*dims).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n_docs"))
-    cells = materialise(rake(materialise(cells, "cells"), targets, rounds), "raked")
-    c = calibrate(cells, share)
-    chances = cells.select(*[F.col(d).alias(f"__{d}") for d in dims], F.least(F.lit(1.0), F.col("factor") * F.lit(float(c))).alias("probability"))
+    if capped:
+        cells = rake_capped(cells, share, targets, rounds)
+        chance = F.col("probability")
+    else:
+        cells = materialise(rake(materialise(cells, "cells"), targets, rounds), "raked")
+        chance = F.least(F.lit(1.0), F.col("factor") * F.lit(float(calibrate(cells, share))))
+    chances = cells.select(*[F.col(d).alias(f"__{d}") for d in dims], chance.alias("probability"))
     few = cells.count() <= BROADCAST_CELLS
     same = [F.col(d).eqNullSafe(F.col(f"__{d}")) for d in dims]
     joined = rows.join(F.broadcast(chances) if few else chances, same, "left").drop(*[f"__{d}" for d in dims])

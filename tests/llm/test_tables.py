@@ -39,6 +39,49 @@ def test_calibration(spark):
     assert sum(t * min(1, c * f) for t, f in ((100, 5.0), (1000, 1.0), (3000, 0.1))) == pytest.approx(0.4 * 4100)
 
 
+def filled(capacity, weight, total):
+    """Aims in proportion to the weights, none above its capacity."""
+    aims, open_ = {}, set(capacity)
+    while True:
+        c = (total - sum(aims.values())) / sum(weight[v] for v in open_)
+        over = {v for v in open_ if c * weight[v] > capacity[v]}
+        if not over:
+            return aims | {v: c * weight[v] for v in open_}
+        aims |= {v: float(capacity[v]) for v in over}
+        open_ -= over
+
+
+def test_kept_tokens_meet_the_marginals(spark):
+    rng = np.random.default_rng(4)
+    size = {"general": 60, "legal": 12, "contact": 2}
+    rows = [(i, f"s{i % 3}", ("de", "en", "en", "fr")[i % 4], t, "w " * int(rng.integers(1, size[t]))) for i, t in enumerate(rng.choice(list(size), 3000))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, text string")
+    targets, share = {"source": {"s0": 0.5, "s1": 0.3, "s2": 0.2}, "lang": 0.7, "topic": 0.3}, 0.5
+    out = mixing.mix(docs, share, targets, capped=True)
+    rows = out.collect()
+    total = sum(r.tokens for r in rows)
+    assert sum(r.tokens * r.probability for r in rows) == pytest.approx(share * total, rel=1e-4)
+    for name, target in targets.items():
+        tokens, expected, kept = collections.Counter(), collections.Counter(), collections.Counter()
+        for r in rows:
+            tokens[r[name]] += r.tokens
+            expected[r[name]] += r.tokens * r.probability
+            kept[r[name]] += r.tokens * r.kept
+        aims = filled(tokens, target if isinstance(target, dict) else {v: n**target for v, n in tokens.items()}, share * total)
+        for value, aim in aims.items():
+            assert expected[value] == pytest.approx(aim, rel=1e-3) and kept[value] == pytest.approx(aim, abs=0.05 * total)
+    report = {(r.dimension, r.value): r for r in mixing.marginals(out, targets).collect()}
+    assert not report["topic", "contact"].reachable and report["source", "s0"].reachable
+    assert report["source", "s0"].expected == pytest.approx(0.5, rel=1e-3)
+
+
+def test_capped_odd_rows(odd, none):
+    rows = mixing.mix(odd.drop("topic"), 0.5, capped=True).collect()
+    assert len(rows) == odd.count() and all(0 <= r.probability <= 1 for r in rows)
+    assert sum(r.tokens * r.probability for r in rows) == pytest.approx(0.5 * sum(r.tokens for r in rows))
+    assert mixing.mix(none, 0.5, capped=True).count() == 0
+
+
 def test_mixing_odd_rows(odd, none):
     rows = mixing.mix(odd.drop("topic"), 0.5).collect()
     assert len(rows) == odd.count() and all(0 <= r.probability <= 1 and isinstance(r.kept, bool) for r in rows)
