@@ -65,68 +65,106 @@ def _total(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda n, x: n + x["k"])
 
 
+_NONE = "cast(array() as array<string>)"
+
+
 def _packed(parts: Column, config: ChunkConfig, joiner: str, oversize=None) -> Column:
     """Greedy packing of measured parts into chunks of at most max_words (a single longer part stands alone).
 
-    A full group starts the next with its last parts up to overlap_words. The last group stays only from min_words on.
-    oversize(text) gives the chunks of a part that is too long by itself; it flushes the group and leaves none behind.
+    A full group starts the next with its last parts up to overlap_words. The last group stays only from min_words on; a shorter
+    one goes to `short`. oversize(text) gives the pieces of a part that is too long by itself; it flushes the group and leaves none behind.
     """
-    start = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.expr(_EMPTY).alias("group"), F.lit(0).alias("n"))
+    start = F.struct(F.expr(_NONE).alias("done"), F.expr(_NONE).alias("short"), F.expr(_EMPTY).alias("group"), F.lit(0).alias("n"))
     joined = lambda group: F.array_join(_texts(group), joiner)
+    acc_of = lambda done, short, group, n: F.struct(done.alias("done"), short.alias("short"), group.alias("group"), n.alias("n"))
 
     def step(acc: Column, x: Column) -> Column:
         some = F.size(acc["group"]) > 0
         full = some & (acc["n"] + x["k"] > config.max_words)
         tail = _tail(acc["group"], config.overlap_words)
         flushed = F.concat(acc["done"], F.array(joined(acc["group"])))
-        normal = F.when(
-            full, F.struct(flushed.alias("done"), F.concat(tail, F.array(x)).alias("group"), (_total(tail) + x["k"]).alias("n"))
-        ).otherwise(F.struct(acc["done"].alias("done"), F.concat(acc["group"], F.array(x)).alias("group"), (acc["n"] + x["k"]).alias("n")))
+        normal = F.when(full, acc_of(flushed, acc["short"], F.concat(tail, F.array(x)), _total(tail) + x["k"])).otherwise(
+            acc_of(acc["done"], acc["short"], F.concat(acc["group"], F.array(x)), acc["n"] + x["k"])
+        )
         if oversize is None:
             return normal
-        own = F.struct(F.concat(F.when(some, flushed).otherwise(acc["done"]), oversize(x["t"])).alias("done"), F.expr(_EMPTY).alias("group"), F.lit(0).alias("n"))
+        # a transform of one element: the pieces are made once
+        own = F.transform(
+            F.array(oversize(x["t"])),
+            lambda made: acc_of(F.concat(F.when(some, flushed).otherwise(acc["done"]), made["chunks"]), F.concat(acc["short"], made["short"]), F.expr(_EMPTY), F.lit(0)),
+        )[0]
         return F.when(x["k"] > config.max_words, own).otherwise(normal)
 
     def finish(acc: Column) -> Column:
-        return F.when((F.size(acc["group"]) > 0) & (acc["n"] >= config.min_words), F.concat(acc["done"], F.array(joined(acc["group"])))).otherwise(acc["done"])
+        last = F.when(F.size(acc["group"]) > 0, F.array(joined(acc["group"]))).otherwise(F.expr(_NONE))
+        keep = acc["n"] >= config.min_words
+        return F.struct(
+            F.when(keep, F.concat(acc["done"], last)).otherwise(acc["done"]).alias("chunks"),
+            F.when(keep, acc["short"]).otherwise(F.concat(acc["short"], last)).alias("short"),
+        )
 
     return F.aggregate(parts, start, step, finish)
 
 
-def _short(c: Column, config: ChunkConfig, chunks: Column) -> Column:
+def _short(c: Column, config: ChunkConfig, pieces: Column) -> Column:
     n = F.size(words(c))
-    whole = F.when(n >= SHORT_TEXT_WORDS, F.array(c)).otherwise(F.expr("cast(array() as array<string>)"))
-    return F.when(n < config.min_words, whole).otherwise(chunks)
+    whole = F.when(n >= SHORT_TEXT_WORDS, F.array(c)).otherwise(F.expr(_NONE))
+    return F.when(n < config.min_words, F.struct(whole.alias("chunks"), F.expr(_NONE).alias("short"))).otherwise(pieces)
 
 
-def chunk_by_sentence(c: Column, config: ChunkConfig) -> Column:
+def by_sentence(c: Column, config: ChunkConfig) -> Column:
     return _short(c, config, _packed(_measured(sentences(c)), config, " "))
 
 
-def chunk_by_paragraph(c: Column, config: ChunkConfig) -> Column:
-    return _short(c, config, _packed(_measured(paragraphs(c)), config, "\n\n", lambda t: chunk_by_sentence(t, config)))
+def by_paragraph(c: Column, config: ChunkConfig) -> Column:
+    return _short(c, config, _packed(_measured(paragraphs(c)), config, "\n\n", lambda t: by_sentence(t, config)))
 
 
-def chunk_fixed(c: Column, config: ChunkConfig) -> Column:
+def by_size(c: Column, config: ChunkConfig) -> Column:
     """Windows of max_words words that step by max_words - overlap_words and end with the first that reaches the last word."""
     w, step = words(c), config.max_words - config.overlap_words
     last = F.greatest(F.lit(0), F.ceil((F.size(w) - config.overlap_words) / step).cast("int") - 1)
     windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(w, i * step + 1, config.max_words), " "))
-    return F.when(F.size(w) > 0, windows).otherwise(F.expr("cast(array() as array<string>)"))
+    return F.struct(F.when(F.size(w) > 0, windows).otherwise(F.expr(_NONE)).alias("chunks"), F.expr(_NONE).alias("short"))
+
+
+def pieces_of(c: Column, config: ChunkConfig) -> Column:
+    """The chunks of a text and the last groups that are too short to be one: a struct of two arrays."""
+    return {"sentence": by_sentence, "paragraph": by_paragraph, "fixed": by_size}[config.method](c, config)
 
 
 def chunks_of(c: Column, config: ChunkConfig) -> Column:
     """The chunks of a text as an array; null gives none."""
-    made = {"sentence": chunk_by_sentence, "paragraph": chunk_by_paragraph, "fixed": chunk_fixed}[config.method](c, config)
-    return F.coalesce(made, F.expr("cast(array() as array<string>)"))
+    return F.coalesce(pieces_of(c, config)["chunks"], F.expr(_NONE))
+
 
+def chunk(df: DataFrame, config: ChunkConfig = ChunkConfig(), text: str = "text", key: str = "doc_id", lost: str | None = None) -> DataFrame:
+    """One row per chunk: the other columns, chunk_id, text, chunk_index (from 0), total_chunks, chunking_method, word_count, char_count.
 
-def chunk(df: DataFrame, config: ChunkConfig = ChunkConfig(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per chunk: the other columns, chunk_id, text, chunk_index (from 0), total_chunks, chunking_method, word_count, char_count."""
+    lost names a struct column (stage, reason) of df: rows where it is set are not chunked but stay, and what chunking drops joins
+    them as rows with stage chunking: short last groups, and texts without a chunk. Such rows have no chunk_id and no chunk_index.
+    """
     rest = [c for c in df.columns if c not in (text, "chunk_id", "chunk_index", "total_chunks", "chunking_method", "word_count", "char_count")]
-    made = df.select(*rest, chunks_of(F.col(text), config).alias("__chunks"))
-    rows = made.select(*rest, F.size("__chunks").alias("total_chunks"), F.posexplode("__chunks").alias("chunk_index", "text")).where(~is_blank(F.col("text")))
+    if lost is None:
+        made = df.select(*rest, chunks_of(F.col(text), config).alias("__chunks"))
+        rows = made.select(*rest, F.size("__chunks").alias("total_chunks"), F.posexplode("__chunks").alias("chunk_index", "text")).where(~is_blank(F.col("text")))
+    else:
+        rest.remove(lost)
+        gone = F.col(lost)
+        made = df.select(*rest, lost, F.col(text).alias("__text"), F.when(gone.isNull(), pieces_of(F.col(text), config)).alias("__made"))
+        piece = lambda t, i, why: F.struct(i.cast("int").alias("i"), t.alias("t"), why.alias("why"))
+        drop = lambda t, reason: piece(t, F.lit(None), F.struct(F.lit("chunking").alias("stage"), reason.alias("reason")))
+        fine = F.lit(None).cast("struct<stage:string,reason:string>")
+        kept = F.transform(F.col("__made.chunks"), lambda t, i: piece(t, i, fine))
+        short = F.transform(F.col("__made.short"), lambda t: drop(t, F.lit("short_last_group")))
+        whole = F.array(drop(F.col("__text"), F.when(is_blank(F.col("__text")), "no_words").otherwise("too_few_words")))
+        found = F.concat(kept, short)
+        pieces = F.when(gone.isNotNull(), F.array(piece(F.col("__text"), F.lit(None), gone))).when(F.size(found) > 0, found).otherwise(whole)
+        rows = made.select(*rest, F.coalesce(F.size("__made.chunks"), F.lit(0)).alias("total_chunks"), F.explode(pieces).alias("__p"))
+        rows = rows.select(*rest, "total_chunks", F.col("__p.i").alias("chunk_index"), F.col("__p.t").alias("text"), F.col("__p.why").alias(lost))
+        rest.append(lost)
+    made_id = stable_id(F.col(key), F.col("chunk_index"), F.col("text"))
     return rows.select(
-        *rest, stable_id(F.col(key), F.col("chunk_index"), F.col("text")).alias("chunk_id"), "text", "chunk_index", "total_chunks",
+        *rest, (made_id if lost is None else F.when(F.col(lost).isNull(), made_id)).alias("chunk_id"), "text", "chunk_index", "total_chunks",
         F.lit(config.method).alias("chunking_method"), word_count(F.col("text")).alias("word_count"), F.length("text").cast("long").alias("char_count"),
     )

@@ -55,12 +55,14 @@ def gate_chunks(chunks: DataFrame, config: PipelineConfig, order: tuple[str, ...
 
     Order of the checks: content filter, least length, exact duplicate, near duplicate, quality. A hash counts as seen
     from the length check on, so a copy of a chunk that fails later is still an exact duplicate. The chunks are written to
-    the shared folder first, since several checks read them.
+    the shared folder first, since several checks read them. Rows whose __lost (stage, reason) is set were dropped before and only pass through.
     """
     rows = apply_filter(chunks, config.filter, "filtering")
     early = F.when(F.col("filter_action") == "rejected", F.struct(F.lit("filter").alias("stage"), F.lit("rejected").alias("reason")))
     early = early.when(F.length(F.coalesce("text", F.lit(""))) < config.quality.min_text_length, F.struct(F.lit("length").alias("stage"), F.lit("too_short").alias("reason")))
-    rows = materialise(rows.withColumn("__early", early), "chunks")
+    if "__lost" in chunks.columns:
+        early = F.coalesce("__lost", early)
+    rows = materialise(rows.withColumn("__early", early).drop("__lost"), "chunks")
     passed = exact_dedup(rows.where("__early IS NULL"), order)
     failed = rows.where("__early IS NOT NULL").withColumn("text_sha256", F.sha2("text", 256)).withColumn("is_duplicate", F.lit(False))
     if config.lsh is not None:
@@ -83,11 +85,16 @@ def gate_chunks(chunks: DataFrame, config: PipelineConfig, order: tuple[str, ...
 
 
 def prepare(docs: DataFrame, config: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """Chunks of the cleaned documents with stage and reason of what is dropped; null reason: kept."""
-    filtered = apply_filter(docs, config.filter, "cleaning").select(docs.columns)
+    """Chunks of the cleaned documents with stage and reason of what is dropped; null reason: kept.
+
+    Every document has a row: one that fails cleaning, or has no chunk, is a row without chunk_id, as is a last group that is too short.
+    """
+    filtered = apply_filter(docs, config.filter, "cleaning").withColumn("__rejected", F.col("filter_action") == "rejected").select(*docs.columns, "__rejected")
     cleaned = clean(filtered, config.clean)
-    good = cleaned.where("cleaning_success").select(*[c for c in docs.columns if c != "text"], F.col("cleaned").alias("text"))
-    return gate_chunks(chunk(good, config.chunk), config)
+    reason = F.when(F.col("__rejected"), "filter_rejected").otherwise(F.col("cleaning_reason"))
+    lost = F.when(F.col("__rejected") | ~F.col("cleaning_success"), F.struct(F.lit("cleaning").alias("stage"), reason.alias("reason")))
+    texts = cleaned.select(*[c for c in docs.columns if c != "text"], F.col("cleaned").alias("text"), lost.alias("__lost"))
+    return gate_chunks(chunk(texts, config.chunk, lost="__lost"), config)
 
 
 def removal_report(gated: DataFrame) -> DataFrame:

@@ -17,6 +17,29 @@ def test_copy_of_a_rejected_chunk_is_a_duplicate(spark):
     assert out == {1: "low_unique_ratio", 2: "exact_duplicate", 3: "too_short", 4: None}
 
 
+def test_every_document_and_last_group_has_a_row(spark):
+    line = " ".join(f"w{i}" for i in range(30))
+    texts = ["", None, "tiny", "a few words that make up more than fifty characters of text", f"{line}. {line} a. {line} b. end of it", " ".join("....." for _ in range(60)) + " ", f"more {line} {line}"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)] + [(7, f"{line} {line}", "de")], "doc_id long, text string, lang string")
+    config = pl.PipelineConfig.of({"clean": {"languages": ["en"]}, "chunk": {"method": "sentence", "min_words": 50, "max_words": 70}})
+    rows = pl.prepare(docs, config).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append((r.stage, r.reason))
+        assert (r.chunk_id is None) == (r.stage in ("cleaning", "chunking"))
+    assert got[0] == got[1] == [("cleaning", "empty_text")] and got[2] == [("cleaning", "too_short")] and got[7] == [("cleaning", "language")]
+    assert got[3] == [("chunking", "too_few_words")] and sorted(got[4], key=str) == [("chunking", "short_last_group"), (None, None)]
+    assert set(got) == set(range(8))
+
+
+def test_rejected_document_keeps_its_reason(spark):
+    word = "mail me at someone@example.com " * 20
+    docs = spark.createDataFrame([(1, word, "en"), (2, " ".join(f"v{i}" for i in range(80)), "en")], "doc_id long, text string, lang string")
+    config = pl.FilterConfig(("mail me",), "reject")
+    out = {r.doc_id: (r.stage, r.reason) for r in pl.prepare(docs, pl.PipelineConfig(filter=config)).collect()}
+    assert out == {1: ("cleaning", "filter_rejected"), 2: (None, None)}
+
+
 def test_run_writes_everything(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
     config = pl.PipelineConfig.of({"chunk": {"method": "sentence", "min_words": 50, "max_words": 150}, "shards": {"max_rows": 40}})
