@@ -55,7 +55,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, template, matched_words, template_words, coverage, start, end of every licence found in a document."""
+    """doc_id, template, matched_words, template_words, coverage, start, end, partial of every licence found in a document."""
     return licences.scan_licences(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 

@@ -52,6 +52,23 @@ def test_whole_templates_and_edits():
     assert found["mit"][3] > 0.95
 
 
+def test_copies_with_insertions_and_partial_copies():
+    for name in ("mit", "isc", "bsd-2-clause", "bsd-3-clause", "apache-2.0-header", "zlib"):
+        words = L.TEMPLATES[name].split()
+        for cut in (len(words) // 3, len(words) // 2):
+            text = " ".join(["Before."] + words[:cut] + [f"inserted{i}" for i in range(31)] + words[cut:] + ["after"])
+            (m,) = [m for m in scan(text) if m[0] == name]
+            assert m[3] == 1.0 and not m[6] and text[m[4] : m[5]].split()[-1] == words[-1].rstrip(".") and m[4] == 8
+        (m,) = [m for m in scan(" ".join(words[: len(words) // 2])) if m[0] == name]
+        assert 0.4 < m[3] < 0.6 and m[6]
+        middle = words[:30] + [f"other{i}" for i in range(len(words) - 55)] + words[-25:]  # a replaced middle
+        (m,) = [m for m in scan(" ".join(middle)) if m[0] == name]
+        assert m[1] >= 55
+    found = {m[0]: m for m in scan(L.TEMPLATES["bsd-3-clause"])}
+    assert found["bsd-3-clause"][3] == found["bsd-2-clause"][3] == 1.0
+    assert [m[3] for m in scan((L.TEMPLATES["zlib"] + " ") * 3) if m[0] == "zlib"] == [1.0] * 3
+
+
 def test_spans_are_character_places():
     text = "Näh 日本. Released under the MIT License. x\n\nreleased UNDER the mit, license!"
     found = scan(text)
