@@ -19,7 +19,8 @@ PRIME = (1 << 31) - 1
 @dataclass(frozen=True)
 class LshConfig:
     """Minima and bands. For a threshold of 0.8 over 128 minima, the split with the least sum of false-positive and
-    false-negative area is 9 bands of 13 rows; the threshold is soft unless `verify` is set."""
+    false-negative area is 9 bands of 13 rows; the threshold is soft unless `verify` is set. Then a text falls only to an earlier
+    kept one of its buckets whose word set has a Jaccard similarity of at least the threshold."""
 
     threshold: float = 0.8
     permutations: int = 128
@@ -153,10 +154,30 @@ def greedy_near_dedup(members: DataFrame, key: str = "doc_id", limit: int = 200)
     return fallen if fallen is not None else members.select(key).limit(0)
 
 
+def verified_members(df: DataFrame, members: DataFrame, threshold: float, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Buckets of two for the greedy rule: one for each pair of a bucket's keys that reaches the threshold on whole word sets.
+
+    Keys with the same word set fall to the first of them, whatever becomes of it, so pairs are made of first keys only. Their
+    number can grow with the square of a bucket's different word sets; it is not capped, since a cap would lose links.
+    """
+    from loamline.functions.text import words
+
+    low = F.array_sort(F.array_distinct(words(F.lower(F.coalesce(F.col(text), F.lit(""))))))
+    sets = df.where(F.size(low) > 0).select(key, F.sha2(F.concat_ws(" ", low), 256).alias("__set"))
+    copies = materialise(sets.join(sets.groupBy("__set").agg(F.min(key).alias("first")), "__set").select("first", key).distinct(), "same-sets")
+    alone = members.join(copies.where(F.col(key) == F.col("first")).select(key), key, "left_semi")
+    pairs = alone.select("band", "bucket", F.col(key).alias("first")).join(alone, ["band", "bucket"]).where(F.col("first") < F.col(key)).select("first", key).distinct()
+    links = verified_links(df, pairs, threshold, key, text).select("first", key).unionByName(copies.where(F.col(key) != F.col("first"))).distinct()
+    bucket = F.sha2(F.to_json(F.struct(F.col("first").alias("a"), F.col(key).alias("b"))), 256)
+    return links.select(F.lit(0).alias("band"), bucket.alias("bucket"), F.explode(F.array("first", key)).alias(key))
+
+
 def near_dedup(df: DataFrame, config: LshConfig = LshConfig(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and is_near_duplicate for every distinct key of df under the greedy rule on LSH buckets."""
+    """key and is_near_duplicate for every distinct key of df under the greedy rule on LSH buckets, or on their verified links."""
     bands, rows = config.split()
     members = materialise(lsh_members(minhash(df, config.permutations, key, text), bands, rows, key).distinct(), "members")
+    if config.verify:
+        members = materialise(verified_members(df, members, config.threshold, key, text), "verified")
     fallen = greedy_near_dedup(members, key).withColumn("__out", F.lit(True))
     return df.select(key).distinct().join(fallen, key, "left").select(key, F.coalesce("__out", F.lit(False)).alias("is_near_duplicate"))
 

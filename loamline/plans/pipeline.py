@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loamline.functions.chunking import ChunkConfig, chunk
 from loamline.functions.cleaning import CleanConfig, clean
+from loamline.functions.language import readability
 from loamline.functions.quality import QualityConfig, gate_reason, with_metrics
 from loamline.operators.annotate import CATEGORIES, annotation_records, categorise, count_by
 from loamline.operators.dedup import LshConfig, exact_dedup, near_dedup
@@ -73,7 +74,8 @@ def gate_chunks(chunks: DataFrame, config: PipelineConfig, order: tuple[str, ...
     else:
         passed = passed.withColumn("is_near_duplicate", F.lit(False))
     both = passed.unionByName(failed.withColumn("is_near_duplicate", F.lit(False)))
-    measured = with_metrics(both).withColumn("__gate", gate_reason(config.quality))
+    ease = readability(F.col("text")) if config.quality.min_readability is not None else None
+    measured = with_metrics(both).withColumn("__gate", gate_reason(config.quality, ease))
     late = (
         F.when(F.col("__early").isNotNull(), F.col("__early"))
         .when(F.col("is_duplicate"), F.struct(F.lit("dedup").alias("stage"), F.lit("exact_duplicate").alias("reason")))

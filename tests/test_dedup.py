@@ -44,3 +44,24 @@ def test_near_dedup_drops_later_copies(spark):
     base = " ".join(f"w{i}" for i in range(200))
     df = spark.createDataFrame([(1, base), (2, base + " more"), (3, "other text of its own"), (4, "")], "doc_id long, text string")
     assert {r.doc_id: r.is_near_duplicate for r in de.near_dedup(df).collect()} == {1: False, 2: True, 3: False, 4: False}
+
+
+def test_verify_keeps_texts_below_the_threshold(spark):
+    random.seed(8)
+    texts = {}
+    for i in range(60):
+        base = [f"w{i % 6}x{j}" for j in range(60)]
+        texts[i] = " ".join(base[random.randrange(14) :] + [f"own{i}y{j}" for j in range(random.randrange(10))])
+    texts |= {60: texts[0], 61: " ".join(reversed(texts[0].split())), 62: "", 63: ""}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    # one row a band: all texts that share a minimum meet
+    got = {r.doc_id for r in de.near_dedup(df, de.LshConfig(threshold=0.8, bands=128, rows=1, verify=True)).collect() if r.is_near_duplicate}
+    sets, kept, falls = {i: set(t.split()) for i, t in texts.items()}, [], set()
+    for i in sorted(texts):
+        if any(sets[i] and len(sets[i] & sets[k]) >= 0.8 * len(sets[i] | sets[k]) for k in kept):
+            falls.add(i)
+        else:
+            kept.append(i)
+    assert got == falls and {60, 61} <= falls and not {62, 63} & falls
+    soft = {r.doc_id for r in de.near_dedup(df, de.LshConfig(threshold=0.8, bands=128, rows=1)).collect() if r.is_near_duplicate}
+    assert soft > got

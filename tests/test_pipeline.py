@@ -40,6 +40,16 @@ def test_rejected_document_keeps_its_reason(spark):
     assert out == {1: ("cleaning", "filter_rejected"), 2: (None, None)}
 
 
+def test_options_reach_the_gate(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(1, 0, "a", " ".join(base)), (2, 0, "b", " ".join(base[:40] + [f"v{i}" for i in range(20)])), (3, 0, "c", "Incomprehensibility institutionalisation " * 30), (4, 0, "d", "The cat sat. The dog ran. " * 12)]
+    chunks = spark.createDataFrame(rows, "doc_id long, chunk_index int, chunk_id string, text string")
+    lsh = {"bands": 128, "rows": 1}
+    reasons = lambda **sections: {r.doc_id: r.reason for r in pl.gate_chunks(chunks, pl.PipelineConfig.of(sections)).collect()}
+    assert reasons(lsh=lsh) == {1: None, 2: "near_duplicate", 3: None, 4: None}
+    assert reasons(lsh=lsh | {"verify": True}, quality={"min_readability": 0.0}) == {1: None, 2: None, 3: "low_readability", 4: None}
+
+
 def test_run_writes_everything(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
     config = pl.PipelineConfig.of({"chunk": {"method": "sentence", "min_words": 50, "max_words": 150}, "shards": {"max_rows": 40}})
