@@ -91,3 +91,13 @@ def test_second_person_nearness():
     at = toxicity.FEATURES.index("hits_near_you")
     assert near[at] == 1 and far[at] == 0
     assert toxicity.features_of("an 1d10t here", flags)[toxicity.FEATURES.index("masked_hits")] == 1
+
+
+def test_distinct_hits_of_long_texts():
+    word, other = sorted(toxicity.SEED_LEXICON)[:2]
+    flags = toxicity.BoundedCache(toxicity.Lexicon().flags)
+    at = toxicity.FEATURES.index("distinct_hits")
+    for n in (1, 1000, 1001, 5000):
+        assert toxicity.features_of(f"{word} " * n, flags)[at] == 1.0
+    assert toxicity.features_of(f"{word} " * 2000 + other.upper() + "!", flags)[at] == 2.0
+    assert toxicity.distinct_up_to((f"w{i}" for i in range(99)), 20) == 20
