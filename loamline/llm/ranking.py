@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,12 +38,13 @@ def features_of(text: str | None, marks: BoundedCache) -> list[float]:
     total, mask = sum(map(marks.__getitem__, words)), (1 << 40) - 1
     upper, letters, digits, bare = total & mask, total >> 40 & mask, total >> 80 & mask, total >> 120
     chars = max(1, len(text))
-    distinct = set(words)
+    counts = Counter(words)
+    distinct = counts.keys()
     windows = max(1, n - 2)
     repeated = 1 - len(set(zip(words, words[1:], words[2:]))) / windows if n > 2 else 0.0
     lines = [x for x in text.split("\n") if x.strip()]
     symbols = sum(map(text.count, "#*$%&|<>{}~^\\"))
-    top = max(words.count(w) for w in (words[0], words[n // 2], words[-1])) / n if n > 10 else 0.0
+    top = max(counts.values()) / n if n > 10 else 0.0
     return [
         np.log1p(n) / 10,
         float(n < 10),

@@ -101,3 +101,11 @@ def test_distinct_hits_of_long_texts():
         assert toxicity.features_of(f"{word} " * n, flags)[at] == 1.0
     assert toxicity.features_of(f"{word} " * 2000 + other.upper() + "!", flags)[at] == 2.0
     assert toxicity.distinct_up_to((f"w{i}" for i in range(99)), 20) == 20
+
+
+def test_longest_share_counts_every_word():
+    words = [f"w{i}" for i in range(40)]
+    for i in (3, 7, 9, 12, 22, 25, 31, 35):
+        words[i] = "spam"
+    share = ranking.features_of(" ".join(words), ranking.BoundedCache(ranking._marks))[ranking.FEATURES.index("longest_share")]
+    assert share == 8 / 40
