@@ -128,6 +128,7 @@ class Stream:
     kbps: dict[int, int] = field(default_factory=dict)
     crc_good: int = 0
     crc_bad: int = 0
+    crc_unchecked: int = 0
     resyncs: int = 0
     junk: int = 0
     payload: bytes = b""
@@ -185,7 +186,7 @@ def _vbr(frame: bytes, head: Header, out: Stream) -> bool:
 
 
 def parse(data: bytes | None) -> Stream:
-    """Read a stream: tags at both ends, the VBR table in the first frame, then every frame with its checksum.
+    """Read a stream: tags at both ends, the VBR table in the first frame, then every frame, with the checksum of layer III (protected frames of layers I and II count as unchecked).
 
     Where no frame starts, the reader goes on byte by byte until a header comes whose successor agrees with it (and with the
     frames before); what it passed counts as junk and one resynchronisation. Damaged frames (bad checksum) count, but
@@ -234,6 +235,8 @@ def parse(data: bytes | None) -> Stream:
             good = crc16(frame[2:4] + frame[6 : 6 + head.side]) == int.from_bytes(frame[4:6], "big")
             out.crc_good += good
             out.crc_bad += not good
+        elif head.protected:
+            out.crc_unchecked += 1  # which bits layers I and II protect depends on their bit allocation, which is not read
         if not (first and head.layer == 3 and _vbr(frame, head, out)):
             out.offsets.append(at)
             out.sizes.append(head.size)
@@ -275,7 +278,7 @@ def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | Non
     """Add `audio`, a struct read from the stored bytes, to the kept columns (all by default).
 
     audio: tags, vbr (Xing, Info, VBRI or empty) with its frames and bytes, frames, samples, rate, duration (seconds; the
-    exact value is duration_samples / rate), kbps (mean), crc_good, crc_bad, resyncs, junk bytes, frame_offsets (array: the byte at which each
+    exact value is duration_samples / rate), kbps (mean), crc_good, crc_bad, crc_unchecked (protected frames of layers I and II), resyncs, junk bytes, frame_offsets (array: the byte at which each
     frame starts), payload (binary), text_bytes. Null, empty and foreign bytes give no frames, not an error.
     """
     small_batches(media.sparkSession)
@@ -284,7 +287,7 @@ def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | Non
     kinds = dict(source.dtypes)
     kind = pa.struct([
         ("tags", pa.list_(pa.string())), ("vbr", pa.string()), ("vbr_frames", pa.int64()), ("vbr_bytes", pa.int64()), ("frames", pa.int64()), ("samples", pa.int64()),
-        ("duration_samples", pa.int64()), ("rate", pa.int32()), ("duration", pa.float64()), ("kbps", pa.float64()), ("crc_good", pa.int64()), ("crc_bad", pa.int64()),
+        ("duration_samples", pa.int64()), ("rate", pa.int32()), ("duration", pa.float64()), ("kbps", pa.float64()), ("crc_good", pa.int64()), ("crc_bad", pa.int64()), ("crc_unchecked", pa.int64()),
         ("resyncs", pa.int64()), ("junk", pa.int64()), ("frame_offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("text_bytes", pa.int64()),
     ])
 
@@ -294,7 +297,7 @@ def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | Non
         return {
             "tags": s.tags, "vbr": s.vbr, "vbr_frames": s.vbr_frames, "vbr_bytes": s.vbr_bytes, "frames": len(s.offsets), "samples": s.samples,
             "duration_samples": n, "rate": s.rate, "duration": n / rate, "kbps": sum(k * v for k, v in s.kbps.items()) / max(1, len(s.offsets)),
-            "crc_good": s.crc_good, "crc_bad": s.crc_bad, "resyncs": s.resyncs, "junk": s.junk, "frame_offsets": s.offsets, "payload": s.payload, "text_bytes": s.text_bytes,
+            "crc_good": s.crc_good, "crc_bad": s.crc_bad, "crc_unchecked": s.crc_unchecked, "resyncs": s.resyncs, "junk": s.junk, "frame_offsets": s.offsets, "payload": s.payload, "text_bytes": s.text_bytes,
         }
 
     def run(batches):
@@ -302,6 +305,6 @@ def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | Non
             rows = [row(b) for b in batch.column(len(stay)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, kind)], names=[*[f"k{i}" for i in range(len(stay))], "audio"])
 
-    struct_type = "struct<tags:array<string>,vbr:string,vbr_frames:long,vbr_bytes:long,frames:long,samples:long,duration_samples:long,rate:int,duration:double,kbps:double,crc_good:long,crc_bad:long,resyncs:long,junk:long,frame_offsets:array<long>,payload:binary,text_bytes:long>"
+    struct_type = "struct<tags:array<string>,vbr:string,vbr_frames:long,vbr_bytes:long,frames:long,samples:long,duration_samples:long,rate:int,duration:double,kbps:double,crc_good:long,crc_bad:long,crc_unchecked:long,resyncs:long,junk:long,frame_offsets:array<long>,payload:binary,text_bytes:long>"
     out = source.mapInArrow(run, ", ".join([*[f"k{i} {kinds[f'k{i}']}" for i in range(len(stay))], f"audio {struct_type}"]))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(stay)], "audio")

@@ -96,3 +96,12 @@ def test_odd_rows(odd, none):
     assert len(out) == odd.count() and {r.audio.payload for r in out if r.doc_id in (2, 3)} == {bytes(64)}
     assert mpeg.inspect_media(mpeg.store_media(none)).count() == 0
     assert len({r.media for r in out if r.doc_id in (1, 4)}) == 1
+
+
+def test_protected_layer_two_counts_as_unchecked():
+    four = bytes((0xFF, 0xFC, 0xA0, 0xC0))
+    frame = four.ljust(mpeg.header_of(four).size, b"\0")
+    s = mpeg.parse(frame * 5)
+    assert mpeg.header_of(four).layer == 2 and len(s.offsets) == 5
+    assert (s.crc_good, s.crc_bad, s.crc_unchecked) == (0, 0, 5)
+    assert mpeg.parse(mpeg.store(b"abc")).crc_unchecked == 0
