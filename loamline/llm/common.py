@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import sys
 import tempfile
 import uuid
@@ -20,19 +21,38 @@ BATCH_ROWS = 2000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local session gets a temporary one; on a cluster this is an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="loamline-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+class Scratch:
+    """Tables of one job in the shared folder: written, read again, and removed once no later step reads them.
+
+    A table cuts the lineage and outlives lost executors. What a returned frame still reads must not be dropped.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, f"{shared_dir(spark)}/loamline/{name}-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame as Parquet in the shared folder and read it again: cuts the lineage and outlives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/loamline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A single table of that kind."""
+    return Scratch(df.sparkSession, name).write(df, "0")
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -47,9 +47,9 @@ def test_query_against_all_pairs(spark, sf, corpus):
     assert as_dict(queries.op9_near_duplicates(spark, sf)) == brute(corpus, 2)
 
 
-@pytest.mark.parametrize("block", [2048, 8])
-def test_families_of_uneven_copies(spark, block):
-    """Groups whose least member is far from the others, so links run through other members."""
+@pytest.mark.parametrize(("block", "block_shingles", "kind"), [(512, 10**6, "long"), (8, 10**6, "long"), (512, 500, "string")])
+def test_families_of_uneven_copies(spark, block, block_shingles, kind):
+    """Groups whose least member is far from the others, so links run through other members; small blocks, ids as text."""
     random.seed(6)
     rows, n = [], 0
     for _ in range(6):
@@ -62,9 +62,9 @@ def test_families_of_uneven_copies(spark, block):
             n += 1
     ids = list(range(n))
     random.shuffle(ids)
-    rows = [(ids[i], t) for i, t in rows]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert as_dict(M.near_duplicates(df, M.Settings(shingle=2, block=block))) == brute(rows, 2)
+    rows = [(ids[i] if kind == "long" else f"{ids[i]:03d}", t) for i, t in rows]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+    assert as_dict(M.near_duplicates(df, M.Settings(shingle=2, block=block, block_shingles=block_shingles))) == brute(rows, 2)
 
 
 def test_components_by_stars(spark):
@@ -106,3 +106,15 @@ def test_drop_keeps_one_of_each(spark, odd, none):
     assert sorted((r.doc_id or 0) for r in out) == [0, 1, 2, 3, 5, 6, 7, 8] and M.drop_near_duplicates(none).count() == 0
     df = spark.createDataFrame([(1, "b c d", 2), (1, "b c d", 1), (1, "x y z", 0), (2, "b c d", 0)], "doc_id long, text string, n int")
     assert [tuple(r) for r in M.drop_near_duplicates(df).collect()] == [(1, "b c d", 1)]
+
+
+def test_repeated_ids_are_one_document(spark):
+    t, u, v = "a b c d e f", "g h i j k l", "m n o p q r"
+    df = spark.createDataFrame([(3, t), (5, t), (5, u), (7, u), (8, v), (9, v), (9, v)], "doc_id long, text string")
+    assert as_dict(M.near_duplicates(df)) == {3: (2, 3), 5: (2, 3), 7: (2, 3), 8: (2, 8), 9: (2, 8)}
+    assert [r.doc_id for r in M.drop_near_duplicates(df).orderBy("doc_id").collect()] == [3, 8]
+
+
+def test_ids_as_text(spark):
+    df = spark.createDataFrame([("b", "x y z"), ("a", "X Y  z"), ("c", "p q")], "doc_id string, text string")
+    assert as_dict(M.near_duplicates(df)) == {"a": (1, "a"), "b": (1, "a"), "c": (1, "c")}
