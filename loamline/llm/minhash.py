@@ -153,7 +153,7 @@ def _agreeing(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
     side = lambda c: sets.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
     same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     near = 100 * F.least("na", "nb") >= settings.percent * F.greatest("na", "nb")
-    return pairs.join(side("b"), "b").join(side("a"), "a").where(near).where(same >= settings.agree).select("a", "b").distinct()
+    return pairs.join(side("b"), "b").join(side("a"), "a").where(near).where(same >= settings.agree).select("a", "b")
 
 
 def components(links: DataFrame, limit: int | None = None) -> DataFrame:
