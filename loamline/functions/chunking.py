@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,105 +38,113 @@ def paragraphs(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, "\n\n"), strip), lambda x: x != "")
 
 
-def _measured(parts: Column) -> Column:
-    return F.transform(parts, lambda x: F.struct(x.alias("t"), F.size(words(x)).alias("k")))
+_NONE = "cast(array() as array<string>)"
+_BOUNDS = "cast(array() as array<struct<lo:int,hi:int,large:boolean>>)"
 
 
-def _texts(parts: Column) -> Column:
-    return F.transform(parts, lambda x: x["t"])
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
-_EMPTY = "cast(array() as array<struct<t:string,k:int>>)"
+def _tail(sizes: Column, lo: Column, hi: Column, limit: int) -> Column:
+    """How many last parts of lo..hi-1 have at most `limit` words together, and their words."""
+    start = F.struct(F.lit(0).alias("parts"), F.lit(0).alias("words"), F.lit(True).alias("open"))
 
+    def step(acc: Column, k: Column) -> Column:
+        fits = acc["open"] & (acc["words"] + k <= limit)
+        return F.struct((acc["parts"] + fits.cast("int")).alias("parts"), (acc["words"] + F.when(fits, k).otherwise(0)).alias("words"), fits.alias("open"))
 
-def _tail(parts: Column, limit: int) -> Column:
-    """The longest run of last parts with at most `limit` words."""
-    if limit <= 0:
-        return F.expr(_EMPTY)
-    start = F.struct(F.expr(_EMPTY).alias("kept"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+    return F.aggregate(F.reverse(F.slice(sizes, lo + 1, hi - lo)), start, step)
 
-    def step(acc: Column, x: Column) -> Column:
-        fits = acc["open"] & (acc["n"] + x["k"] <= limit)
-        return F.struct(F.when(fits, F.concat(F.array(x), acc["kept"])).otherwise(acc["kept"]).alias("kept"), F.when(fits, acc["n"] + x["k"]).otherwise(acc["n"]).alias("n"), fits.alias("open"))
 
-    return F.aggregate(F.reverse(parts), start, step, lambda acc: acc["kept"])
+def _bounds(sizes: Column, config: ChunkConfig, split_large: bool) -> Column:
+    """Greedy groups over the parts' word counts: bounds of the full ones (lo to hi - 1), and from where the last one runs, with its words.
 
+    Only places are carried from part to part; texts are cut and joined once the groups are known.
+    """
+    at = lambda bounds, lo, i, n: F.struct(bounds.alias("bounds"), lo.cast("int").alias("lo"), i.cast("int").alias("i"), n.cast("int").alias("n"))
+    bound = lambda lo, hi, large: F.array(F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"), F.lit(large).alias("large")))
 
-def _total(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0), lambda n, x: n + x["k"])
+    def step(acc: Column, k: Column) -> Column:
+        bounds, lo, i, n = acc["bounds"], acc["lo"], acc["i"], acc["n"]
+        closed = F.concat(bounds, bound(lo, i, False))
+        if config.overlap_words:
+            following = bind(_tail(sizes, lo, i, config.overlap_words), lambda t: at(closed, i - t["parts"], i + 1, t["words"] + k))
+        else:
+            following = at(closed, i, i + 1, k)
+        out = F.when((i > lo) & (n + k > config.max_words), following).otherwise(at(bounds, lo, i + 1, n + k))
+        if split_large:
+            alone = at(F.concat(F.when(i > lo, closed).otherwise(bounds), bound(i, i + 1, True)), i + 1, i + 1, F.lit(0))
+            out = F.when(k > config.max_words, alone).otherwise(out)
+        return out
 
+    return F.aggregate(sizes, at(F.expr(_BOUNDS), F.lit(0), F.lit(0), F.lit(0)), step)
 
-_NONE = "cast(array() as array<string>)"
 
+def _pieces(chunks: Column, short: Column) -> Column:
+    return F.struct(chunks.alias("chunks"), short.alias("short"))
 
-def _packed(parts: Column, config: ChunkConfig, joiner: str, oversize=None) -> Column:
-    """Greedy packing of measured parts into chunks of at most max_words (a single longer part stands alone).
+
+def _packed(parts: Column, config: ChunkConfig, joiner: str, split: Callable[[Column], Column] | None = None) -> Column:
+    """Greedy packing of parts into chunks of at most max_words (a single longer part stands alone, or gives the pieces that `split` makes of it).
 
     A full group starts the next with its last parts up to overlap_words. The last group stays only from min_words on; a shorter
-    one goes to `short`. oversize(text) gives the pieces of a part that is too long by itself; it flushes the group and leaves none behind.
+    one goes to `short`. A part that is split flushes the group and leaves none behind.
     """
-    start = F.struct(F.expr(_NONE).alias("done"), F.expr(_NONE).alias("short"), F.expr(_EMPTY).alias("group"), F.lit(0).alias("n"))
-    joined = lambda group: F.array_join(_texts(group), joiner)
-    acc_of = lambda done, short, group, n: F.struct(done.alias("done"), short.alias("short"), group.alias("group"), n.alias("n"))
-
-    def step(acc: Column, x: Column) -> Column:
-        some = F.size(acc["group"]) > 0
-        full = some & (acc["n"] + x["k"] > config.max_words)
-        tail = _tail(acc["group"], config.overlap_words)
-        flushed = F.concat(acc["done"], F.array(joined(acc["group"])))
-        normal = F.when(full, acc_of(flushed, acc["short"], F.concat(tail, F.array(x)), _total(tail) + x["k"])).otherwise(
-            acc_of(acc["done"], acc["short"], F.concat(acc["group"], F.array(x)), acc["n"] + x["k"])
-        )
-        if oversize is None:
-            return normal
-        # a transform of one element: the pieces are made once
-        own = F.transform(
-            F.array(oversize(x["t"])),
-            lambda made: acc_of(F.concat(F.when(some, flushed).otherwise(acc["done"]), made["chunks"]), F.concat(acc["short"], made["short"]), F.expr(_EMPTY), F.lit(0)),
-        )[0]
-        return F.when(x["k"] > config.max_words, own).otherwise(normal)
-
-    def finish(acc: Column) -> Column:
-        last = F.when(F.size(acc["group"]) > 0, F.array(joined(acc["group"]))).otherwise(F.expr(_NONE))
-        keep = acc["n"] >= config.min_words
-        return F.struct(
-            F.when(keep, F.concat(acc["done"], last)).otherwise(acc["done"]).alias("chunks"),
-            F.when(keep, acc["short"]).otherwise(F.concat(acc["short"], last)).alias("short"),
-        )
-
-    return F.aggregate(parts, start, step, finish)
-
-
-def _short(c: Column, config: ChunkConfig, pieces: Column) -> Column:
-    n = F.size(words(c))
-    whole = F.when(n >= SHORT_TEXT_WORDS, F.array(c)).otherwise(F.expr(_NONE))
-    return F.when(n < config.min_words, F.struct(whole.alias("chunks"), F.expr(_NONE).alias("short"))).otherwise(pieces)
+
+    def cut(texts: Column, g: Column) -> Column:
+        joined = lambda lo, hi: F.array(F.array_join(F.slice(texts, lo + 1, hi - lo), joiner))
+        none, last = F.expr(_NONE), joined(g["lo"], g["i"])
+        some, long = g["i"] > g["lo"], g["n"] >= config.min_words
+        tail = _pieces(F.when(some & long, last).otherwise(none), F.when(some & ~long, last).otherwise(none))
+        whole = lambda b: joined(b["lo"], b["hi"])
+        if split is None:
+            return _pieces(F.concat(F.flatten(F.transform(g["bounds"], whole)), tail["chunks"]), tail["short"])
+        made = F.transform(g["bounds"], lambda b: F.when(b["large"], split(texts[b["lo"]])).otherwise(_pieces(whole(b), none)))
+        every = lambda m, name: F.concat(F.flatten(F.transform(m, lambda x: x[name])), tail[name])
+        return bind(made, lambda m: _pieces(every(m, "chunks"), every(m, "short")))
+
+    sizes = lambda texts: F.transform(texts, lambda x: F.size(words(x)))
+    return bind(parts, lambda texts: bind(sizes(texts), lambda ks: bind(_bounds(ks, config, split is not None), lambda g: cut(texts, g))))
+
+
+def _unless_short(c: Column, config: ChunkConfig, pieces: Callable[[Column], Column]) -> Column:
+    """The pieces of a text; below min_words the whole text from SHORT_TEXT_WORDS on, and nothing below."""
+    none = F.expr(_NONE)
+    some = lambda n: F.when(n < config.min_words, _pieces(F.when(n >= SHORT_TEXT_WORDS, F.array(c)).otherwise(none), none)).otherwise(pieces(c))
+    return bind(F.size(words(c)), some)
 
 
 def by_sentence(c: Column, config: ChunkConfig) -> Column:
-    return _short(c, config, _packed(_measured(sentences(c)), config, " "))
+    return _unless_short(c, config, lambda t: _packed(sentences(t), config, " "))
 
 
 def by_paragraph(c: Column, config: ChunkConfig) -> Column:
-    return _short(c, config, _packed(_measured(paragraphs(c)), config, "\n\n", lambda t: by_sentence(t, config)))
+    return _unless_short(c, config, lambda t: _packed(paragraphs(t), config, "\n\n", lambda p: by_sentence(p, config)))
 
 
 def by_size(c: Column, config: ChunkConfig) -> Column:
     """Windows of max_words words that step by max_words - overlap_words and end with the first that reaches the last word."""
-    w, step = words(c), config.max_words - config.overlap_words
-    last = F.greatest(F.lit(0), F.ceil((F.size(w) - config.overlap_words) / step).cast("int") - 1)
-    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(w, i * step + 1, config.max_words), " "))
-    return F.struct(F.when(F.size(w) > 0, windows).otherwise(F.expr(_NONE)).alias("chunks"), F.expr(_NONE).alias("short"))
+    step = config.max_words - config.overlap_words
+
+    def windows(w: Column) -> Column:
+        last = F.greatest(F.lit(0), F.ceil((F.size(w) - config.overlap_words) / step).cast("int") - 1)
+        made = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(w, i * step + 1, config.max_words), " "))
+        return _pieces(F.when(F.size(w) > 0, made).otherwise(F.expr(_NONE)), F.expr(_NONE))
+
+    return bind(words(c), windows)
 
 
 def pieces_of(c: Column, config: ChunkConfig) -> Column:
     """The chunks of a text and the last groups that are too short to be one: a struct of two arrays."""
-    return {"sentence": by_sentence, "paragraph": by_paragraph, "fixed": by_size}[config.method](c, config)
+    make = {"sentence": by_sentence, "paragraph": by_paragraph, "fixed": by_size}[config.method]
+    return bind(F.coalesce(c, F.lit("")), lambda t: make(t, config))
 
 
 def chunks_of(c: Column, config: ChunkConfig) -> Column:
     """The chunks of a text as an array; null gives none."""
-    return F.coalesce(pieces_of(c, config)["chunks"], F.expr(_NONE))
+    return pieces_of(c, config)["chunks"]
 
 
 def chunk(df: DataFrame, config: ChunkConfig = ChunkConfig(), text: str = "text", key: str = "doc_id", lost: str | None = None) -> DataFrame:
@@ -146,8 +155,9 @@ def chunk(df: DataFrame, config: ChunkConfig = ChunkConfig(), text: str = "text"
     """
     rest = [c for c in df.columns if c not in (text, "chunk_id", "chunk_index", "total_chunks", "chunking_method", "word_count", "char_count")]
     if lost is None:
+        # outer: else the optimizer infers a filter that computes the chunks a second time
         made = df.select(*rest, chunks_of(F.col(text), config).alias("__chunks"))
-        rows = made.select(*rest, F.size("__chunks").alias("total_chunks"), F.posexplode("__chunks").alias("chunk_index", "text")).where(~is_blank(F.col("text")))
+        rows = made.select(*rest, F.size("__chunks").alias("total_chunks"), F.posexplode_outer("__chunks").alias("chunk_index", "text")).where(~is_blank(F.col("text")))
     else:
         rest.remove(lost)
         gone = F.col(lost)
@@ -160,7 +170,7 @@ def chunk(df: DataFrame, config: ChunkConfig = ChunkConfig(), text: str = "text"
         whole = F.array(drop(F.col("__text"), F.when(is_blank(F.col("__text")), "no_words").otherwise("too_few_words")))
         found = F.concat(kept, short)
         pieces = F.when(gone.isNotNull(), F.array(piece(F.col("__text"), F.lit(None), gone))).when(F.size(found) > 0, found).otherwise(whole)
-        rows = made.select(*rest, F.coalesce(F.size("__made.chunks"), F.lit(0)).alias("total_chunks"), F.explode(pieces).alias("__p"))
+        rows = made.select(*rest, F.coalesce(F.size("__made.chunks"), F.lit(0)).alias("total_chunks"), F.explode_outer(pieces).alias("__p"))
         rows = rows.select(*rest, "total_chunks", F.col("__p.i").alias("chunk_index"), F.col("__p.t").alias("text"), F.col("__p.why").alias(lost))
         rest.append(lost)
     made_id = stable_id(F.col(key), F.col("chunk_index"), F.col("text"))

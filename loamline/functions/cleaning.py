@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -52,9 +53,9 @@ def straighten_quotes(c: Column) -> Column:
 
 
 def normalise_whitespace(c: Column) -> Column:
-    """One space for runs of spaces, at most two line ends in a row, then every line stripped."""
+    """One space for runs of spaces, at most two line ends in a row, then every line stripped; outer line ends stay."""
     c = F.regexp_replace(F.regexp_replace(c, " +", " "), "\n{3,}", "\n\n")
-    return strip(F.array_join(F.transform(F.split(c, "\n"), strip), "\n"))
+    return F.array_join(F.transform(F.split(c, "\n"), strip), "\n")
 
 
 def remove_short_lines(c: Column, least: int) -> Column:
@@ -76,17 +77,21 @@ def clean_expression(c: Column, config: CleanConfig = CleanConfig()) -> Column:
     return c
 
 
-def clean(df: DataFrame, config: CleanConfig = CleanConfig(), text: str = "text", lang: str | None = "lang") -> DataFrame:
+def clean(df: DataFrame, config: CleanConfig = CleanConfig(), text: str = "text", lang: str | None = "lang", guard: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Add cleaned, original_length, cleaned_length, reduction_ratio, cleaning_success and cleaning_reason to every row.
 
-    Reasons: empty_text (null or blank), language (a known language that is not wanted), too_short (under 50 characters
+    guard, if given, sees the rows once `cleaned` is made; it may change `cleaned` and adds filter_action.
+    Reasons: empty_text (null or blank), filter_rejected (by the guard), language (a known language that is not wanted), too_short (under 50 characters
     once cleaned); null on success. Failed rows stay, with their cleaned text. With detect_language the language is
     guessed from the cleaned text (column `language`) instead of read from `lang`; unknown ones pass.
     """
     out = df.withColumn("cleaned", clean_expression(F.coalesce(F.col(text), F.lit("")), config))
-    out = out.withColumn("original_length", F.length(F.coalesce(F.col(text), F.lit(""))).cast("long")).withColumn("cleaned_length", F.length("cleaned").cast("long"))
+    out = guard(out) if guard else out
+    out = out.withColumn("original_length", F.length(F.coalesce(F.col(text), F.lit(""))).cast("long")).withColumn("cleaned_length", F.coalesce(F.length("cleaned"), F.lit(0)).cast("long"))
     ratio = F.when(F.col("original_length") == 0, 0.0).otherwise((F.col("original_length") - F.col("cleaned_length")) / F.col("original_length"))
     reasons = [F.when(is_blank(F.col(text)), F.lit("empty_text"))]
+    if guard:
+        reasons.append(F.when(F.col("filter_action") == "rejected", F.lit("filter_rejected")))
     if config.detect_language:
         out, lang = out.withColumn("language", detect_language(F.col("cleaned"))), "language"
     if config.languages and lang:

@@ -71,7 +71,3 @@ def gate_reason(config: QualityConfig, readability: Column | None = None) -> Col
     if config.min_readability is not None and readability is not None:
         rules.append((readability < config.min_readability, "low_readability"))
     return F.coalesce(*[F.when(fails, F.lit(code)) for fails, code in rules])
-
-
-def quality_struct() -> Column:
-    return F.struct(*METRICS)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.session import materialise
@@ -47,16 +47,16 @@ def best_split(threshold: float, permutations: int) -> tuple[int, int]:
 def exact_dedup(df: DataFrame, order: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """Add text_sha256 and is_duplicate: true on all but the first row, by `order`, of equal texts.
 
-    Null texts are a group of their own. Only hash and order columns are shuffled by the window's groups: a first row is
-    found by a partial aggregation, so a text that fills a third of the table does not meet in one task. Rows that are equal in
+    Null texts are a group of their own. A first row is
+    found by a partial aggregation over hash and order columns, and only hashes that occur twice are joined back, so a text that fills a third of the table does not meet in one task. Rows that are equal in
     text and order columns are told apart by their place in the scan; if df may have such rows, it should be a scan or a
     written table, whose places do not change between its two uses here.
     """
     tagged = df.withColumn("text_sha256", F.sha2(F.col(text), 256)).withColumn("__at", F.monotonically_increasing_id())
     place = F.struct(*order, "__at")
-    first = tagged.groupBy("text_sha256").agg(F.min(place).alias("__first"))
-    joined = tagged.alias("t").join(first.withColumnRenamed("text_sha256", "__sha"), F.col("text_sha256").eqNullSafe(F.col("__sha")))
-    return joined.withColumn("is_duplicate", place != F.col("__first")).drop("__at", "__first", "__sha")
+    groups = tagged.groupBy("text_sha256").agg(F.min(place).alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    joined = tagged.join(groups.withColumnRenamed("text_sha256", "__sha"), F.col("text_sha256").eqNullSafe(F.col("__sha")), "left")
+    return joined.withColumn("is_duplicate", F.coalesce(place != F.col("__first"), F.lit(False))).drop("__at", "__first", "__sha")
 
 
 def duplicate_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -128,29 +128,52 @@ def verified_links(df: DataFrame, links: DataFrame, threshold: float, key: str =
     return links.join(sets, key).join(first, "first").withColumn("jaccard", jaccard(F.col("__f"), F.col("__w"))).where(F.col("jaccard") >= threshold).select("first", key, "jaccard")
 
 
-def greedy_near_dedup(members: DataFrame, key: str = "doc_id", limit: int = 200) -> DataFrame:
+def _walk(rest: DataFrame, key: str) -> DataFrame:
+    """The keys that fall, by the sequential rule over all rows in one task; for a rest of bounded size."""
+
+    def walk(table: pa.Table) -> pa.Table:
+        buckets: dict = {}
+        for band, bucket, k in zip(table["band"].to_pylist(), table["bucket"].to_pylist(), table["key"].to_pylist(), strict=True):
+            place = tuple((v is not None, v) for v in (k.values() if isinstance(k, dict) else (k,)))  # nulls first, as in Spark
+            buckets.setdefault(place, (k, []))[1].append((band, bucket))
+        taken: set = set()
+        fallen = []
+        for at in sorted(buckets):
+            k, own = buckets[at]
+            if taken.isdisjoint(own):
+                taken.update(own)
+            else:
+                fallen.append(k)
+        return pa.table({"key": pa.array(fallen, table.schema.field("key").type)})
+
+    kind = rest.schema[key].dataType.simpleString()
+    return rest.select("band", "bucket", F.col(key).alias("key"), F.lit(0).alias("all")).groupBy("all").applyInArrow(walk, f"key {kind}").withColumnRenamed("key", key)
+
+
+def greedy_near_dedup(members: DataFrame, key: str = "doc_id", finish_rows: int = 200_000) -> DataFrame:
     """Keys that the greedy rule removes: in key order, a key falls if it shares a bucket with an earlier kept one.
 
     Each round keeps the keys that are first in all of their buckets and removes all others of these buckets, which is what the
     sequential rule does; removed keys then no longer stand before others. No pairs are made. The rest of each round is a
-    table in the shared folder; rounds end when no key is undecided.
+    table in the shared folder. Every round settles the least undecided key at least, so the rounds end; once finish_rows rows
+    or fewer are left, as of long chains, one task settles them in key order.
     """
     shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     rest = materialise(members.join(shared, ["band", "bucket"]), "greedy")
     fallen: DataFrame | None = None
-    for _ in range(limit):
-        if rest.isEmpty():
-            break
-        firsts = rest.groupBy("band", "bucket").agg(F.min(key).alias("first"))
-        placed = rest.join(firsts, ["band", "bucket"])
-        kept = placed.groupBy(key).agg(F.min((F.col(key) == F.col("first")).cast("int")).alias("all")).where("all = 1").select(key)
-        won = rest.join(kept, key, "left_semi").select("band", "bucket").distinct()
-        lost = materialise(rest.join(won, ["band", "bucket"], "left_semi").select(key).distinct().join(kept, key, "left_anti"), "greedy-lost")
+    while (left := rest.count()) > 0:
+        if left <= finish_rows:
+            lost = _walk(rest, key)
+        else:
+            firsts = rest.groupBy("band", "bucket").agg(F.min(key).alias("first"))
+            placed = rest.join(firsts, ["band", "bucket"])
+            kept = placed.groupBy(key).agg(F.min((F.col(key) == F.col("first")).cast("int")).alias("all")).where("all = 1").select(key)
+            won = rest.join(kept, key, "left_semi").select("band", "bucket").distinct()
+            lost = materialise(rest.join(won, ["band", "bucket"], "left_semi").select(key).distinct().join(kept, key, "left_anti"), "greedy-lost")
+            rest = materialise(rest.join(kept, key, "left_anti").join(lost, key, "left_anti"), "greedy")
         fallen = lost if fallen is None else fallen.unionByName(lost)
-        left = rest.join(kept, key, "left_anti").join(lost, key, "left_anti")
-        rest = materialise(left, "greedy")
-    else:
-        raise RuntimeError("undecided keys remain")
+        if left <= finish_rows:
+            break
     return fallen if fallen is not None else members.select(key).limit(0)
 
 
@@ -180,9 +203,3 @@ def near_dedup(df: DataFrame, config: LshConfig = LshConfig(), key: str = "doc_i
         members = materialise(verified_members(df, members, config.threshold, key, text), "verified")
     fallen = greedy_near_dedup(members, key).withColumn("__out", F.lit(True))
     return df.select(key).distinct().join(fallen, key, "left").select(key, F.coalesce("__out", F.lit(False)).alias("is_near_duplicate"))
-
-
-def first_of_each_text(df: DataFrame, order: Sequence[str], text: str = "text") -> DataFrame:
-    """The first row, by order, of each distinct text."""
-    window = Window.partitionBy(F.sha2(F.col(text), 256)).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(window)).where("__n = 1").drop("__n")

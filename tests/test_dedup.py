@@ -20,11 +20,19 @@ def greedy(buckets):
 
 def test_greedy_is_the_sequential_rule(spark):
     random.seed(3)
-    for n, m in ((30, 10), (60, 80), (40, 200)):
+    for n, m in ((30, 10), (60, 80)):
         buckets = {i: {(b, random.randrange(m)) for b in range(3)} for i in range(n)}
         rows = [(b, str(v), i) for i, s in buckets.items() for b, v in s]
-        got = de.greedy_near_dedup(spark.createDataFrame(rows, "band int, bucket string, doc_id long")).collect()
-        assert sorted(r[0] for r in got) == greedy(buckets)
+        for finish in (0, 20, 200_000):
+            got = de.greedy_near_dedup(spark.createDataFrame(rows, "band int, bucket string, doc_id long"), finish_rows=finish).collect()
+            assert sorted(r[0] for r in got) == greedy(buckets)
+
+
+def test_long_chain(spark):
+    """Every key shares a bucket with the next: each second one falls, however long the chain is."""
+    rows = [(0, f"b{i}", k) for i in range(3000) for k in (i, i + 1)]
+    got = de.greedy_near_dedup(spark.createDataFrame(rows, "band int, bucket string, doc_id long")).collect()
+    assert sorted(r[0] for r in got) == list(range(1, 3001, 2))
 
 
 def test_middle_of_a_chain_falls_alone(spark):
