@@ -96,7 +96,7 @@ TASK = T.StructType([
 
 
 def sft_records(tasks: DataFrame) -> DataFrame:
-    """id, instruction, input, response, niche, quality_rating, original_text, annotation_timestamp of annotated tasks.
+    """id, instruction, input (the item input_context), response, niche, quality_rating, original_text, annotation_timestamp of annotated tasks.
 
     The last annotation counts, and in it the last item of each name. Missing or empty values give '' (niche: general, rating: null).
     Tasks without annotations give no row.
@@ -108,7 +108,7 @@ def sft_records(tasks: DataFrame) -> DataFrame:
     return last.select(
         F.coalesce("data.id", F.lit("")).alias("id"),
         first("instruction", "text", "").alias("instruction"),
-        first("input", "text", "").alias("input"),
+        first("input_context", "text", "").alias("input"),
         first("response", "text", "").alias("response"),
         blank(first("niche", "choices", ""), GENERAL).alias("niche"),
         item("quality")["value"]["rating"].alias("quality_rating"),

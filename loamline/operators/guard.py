@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pandas as pd
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,26 +31,35 @@ class FilterConfig:
     stages: tuple[str, ...] = field(default=STAGES)
 
     def valid_patterns(self) -> list[str]:
-        """The patterns that compile; the others are left out (see invalid_patterns)."""
-        return [p for p in self.patterns if _compiles(p)]
+        """The patterns that can run; the others are left out (see invalid_patterns)."""
+        return [p for p in self.patterns if _runs(p)]
 
     def invalid_patterns(self) -> list[str]:
-        return [p for p in self.patterns if not _compiles(p)]
+        return [p for p in self.patterns if not _runs(p)]
 
     def active(self, stage: str | None = None) -> bool:
         return self.enabled and bool(self.valid_patterns()) and (stage is None or stage in self.stages)
 
 
-def _compiles(pattern: str) -> bool:
-    try:
-        re.compile(pattern, re.M | re.I)
-    except re.error:
-        return False
-    return True
+#: Spellings of other dialects and what the JVM's regular expressions have for them.
+_SPELLINGS = ((re.compile(r"\(\?P<"), "(?<"), (re.compile(r"\(\?P=(\w+)\)"), r"\\k<\1>"), (re.compile(r"\(\?#[^)]*\)"), ""))
 
 
 def _java(pattern: str) -> str:
-    return "(?imu)" + pattern
+    """The pattern for the JVM: no case, ^ and $ at line ends (\\n only), Unicode classes."""
+    for shape, spelling in _SPELLINGS:
+        pattern = shape.sub(spelling, pattern)
+    return "(?dimU)" + pattern
+
+
+def _runs(pattern: str) -> bool:
+    """Whether the JVM, which runs the patterns, takes this one."""
+    jvm = SparkContext._active_spark_context._jvm
+    try:
+        jvm.java.util.regex.Pattern.compile(_java(pattern))
+    except IllegalArgumentException:
+        return False
+    return True
 
 
 def match_count(c: Column, config: FilterConfig) -> Column:
@@ -85,53 +98,49 @@ def detections(c: Column, config: FilterConfig) -> Column:
     return F.concat(*parts) if parts else F.expr("cast(array() as array<struct<pattern:string,text:string,start:int,end:int>>)")
 
 
-def snap_before(text: str, at: int) -> int:
-    """The nearest paragraph start before a place, or sentence start, or the place itself."""
-    paragraph = text.rfind("\n\n", max(0, at - PARAGRAPH_REACH), at)
-    if paragraph >= 0:
-        return paragraph + 2
-    lo = max(0, at - SENTENCE_REACH)
-    sentence = max(text.rfind(end, lo, at) for end in (". ", ".\n"))
-    return sentence + 2 if sentence >= 0 else at
+class Breaks:
+    """The places of a text where a section may end: paragraph ends and sentence ends, each kind sorted."""
+
+    def __init__(self, text: str):
+        self.size = len(text)
+        # (places, how far to look, what of the mark stays before a section, what stays after one), the preferred kind first
+        self.kinds = [
+            ([m.start() for m in re.finditer(r"(?=\n\n)", text)], PARAGRAPH_REACH, 2, 0),
+            ([m.start() for m in re.finditer(r"\.(?=[ \n])", text)], SENTENCE_REACH, 2, 1),
+        ]
 
+    def before(self, at: int) -> int:
+        for places, reach, skip, _ in self.kinds:
+            i = bisect_right(places, at - 2)
+            if i and places[i - 1] >= at - reach:
+                return places[i - 1] + skip
+        return at
 
-def snap_after(text: str, at: int) -> int:
-    """The nearest paragraph end after a place, or sentence end, or the place itself."""
-    paragraph = text.find("\n\n", at, min(len(text), at + PARAGRAPH_REACH))
-    if paragraph >= 0:
-        return paragraph
-    window = text[at : min(len(text), at + SENTENCE_REACH)]
-    ends = [p for p in (window.find(". "), window.find(".\n")) if p >= 0]
-    return at + min(ends) + 1 if ends else at
+    def after(self, at: int) -> int:
+        for places, reach, _, keep in self.kinds:
+            i = bisect_left(places, at)
+            if i < len(places) and places[i] + 2 <= min(self.size, at + reach):
+                return places[i] + keep
+        return at
 
 
 def sections(text: str, places: Sequence[tuple[int, int]], context: int) -> list[tuple[int, int]]:
-    """Disjoint stretches around the places, widened by the context and snapped to paragraph or sentence ends."""
-    out: list[list[int]] = []
-    for start, end in sorted(places):
-        lo, hi = snap_before(text, max(0, start - context)), snap_after(text, min(len(text), end + context))
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
-
-
-def redact(text: str | None, config: FilterConfig) -> tuple[str | None, int, int]:
-    """(text without the sections around matches, sections, removed characters). Without a match the text stays as it is."""
-    if not text:
-        return text, 0, 0
-    compiled = [re.compile(p, re.M | re.I) for p in config.valid_patterns()]
-    places = [m.span() for p in compiled for m in p.finditer(text)]
-    if not places:
+    """Disjoint stretches around the places, widened by the context and moved to paragraph or sentence ends."""
+    breaks = Breaks(text)
+    wide = sorted((breaks.before(max(0, a - context)), breaks.after(min(len(text), b + context))) for a, b in places)
+    ends = list(accumulate((hi for _, hi in wide), max))
+    first = [i for i, (lo, _) in enumerate(wide) if i == 0 or lo > ends[i - 1]]
+    return [(wide[i][0], ends[j - 1]) for i, j in zip(first, [*first[1:], len(wide)], strict=True)]
+
+
+def redact(text: str | None, places: Sequence[tuple[int, int]], context: int) -> tuple[str | None, int, int]:
+    """(text without the sections around the places, sections, removed characters). Without a place the text stays as it is."""
+    if not text or not places:
         return text, 0, 0
-    cut = sections(text, places, config.context_chars)
-    kept, at = [], 0
-    for lo, hi in cut:
-        kept.append(text[at:lo])
-        at = max(at, hi)
-    kept.append(text[at:])
-    out = re.sub(r"\n{3,}", "\n\n", "".join(kept)).strip()
+    cut = sections(text, places, context)
+    edges = [0, *(x for section in cut for x in section), len(text)]
+    kept = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+    out = re.sub(r"\n{3,}", "\n\n", kept).strip()
     return out, len(cut), len(text) - len(out)
 
 
@@ -150,10 +159,13 @@ def apply_filter(df: DataFrame, config: FilterConfig, stage: str | None = None,
     if active and config.action == "remove":
 
         @F.pandas_udf("text string, sections int, removed int")
-        def cut(texts: pd.Series) -> pd.DataFrame:
-            return pd.DataFrame([redact(t, config) for t in texts], columns=["text", "sections", "removed"])
+        def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+            rows = [redact(t, [] if a is None else list(zip(map(int, a), map(int, b), strict=True)), config.context_chars) for t, a, b in zip(texts, starts, ends, strict=True)]
+            return pd.DataFrame(rows, columns=["text", "sections", "removed"])
 
-        out = out.withColumn("__cut", cut(F.when(hit, F.col(text))))
+        # the places are those that the JVM counted, so one dialect decides
+        out = out.withColumn("__at", F.when(hit, detections(F.col(text), config)))
+        out = out.withColumn("__cut", cut(F.when(hit, F.col(text)), F.col("__at.start"), F.col("__at.end"))).drop("__at")
         out = out.withColumn(text, F.when(hit, F.col("__cut.text")).otherwise(F.col(text)))
         return out.withColumn("filter_sections", F.coalesce("__cut.sections", F.lit(0))).withColumn("removed_chars", F.coalesce("__cut.removed", F.lit(0))).drop("__cut")
     if active and config.action == "reject":

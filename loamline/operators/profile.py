@@ -86,16 +86,56 @@ def overlap_length(a: Column, b: Column, reach: int = 200, least: int = 20) -> C
 
 
 def consecutive_overlap(df: DataFrame, order: Sequence[str], partition: Sequence[str], text: str = "text", reach: int = 200, least: int = 20) -> DataFrame:
-    """Order columns, overlap_chars and overlap_words of each row with the row after it in its partition."""
-    after = F.lead(text).over(Window.partitionBy(*partition).orderBy(*order))
+    """Order columns, overlap_chars and overlap_words of each row with the row after it in its partition.
+
+    Without a partition the whole table is one order (a single order column): rows are numbered by ranges and joined with
+    the row one number on, so they don't meet in one task.
+    """
     keys = list(dict.fromkeys([*partition, *order]))
-    pairs = df.select(*keys, F.col(text), after.alias("__next")).where("__next IS NOT NULL")
+    if partition:
+        after = F.lead(text).over(Window.partitionBy(*partition).orderBy(*order))
+        pairs = df.select(*keys, F.col(text), after.alias("__next")).where("__next IS NOT NULL")
+    else:
+        pairs = _with_next(df.select(*keys, F.col(text)), order[0], text)
     out = pairs.withColumn("overlap_chars", overlap_length(F.col(text), F.col("__next"), reach, least))
     from loamline.functions.text import word_count
 
     return out.select(*keys, "overlap_chars", word_count(F.when(F.col("overlap_chars") > 0, F.right(F.col(text), F.col("overlap_chars")))).alias("overlap_words"))
 
 
+def _with_next(df: DataFrame, order: str, text: str) -> DataFrame:
+    """The rows of a table in an order, each with row_index and the text of the row after it, as __next."""
+    from loamline.operators.shards import row_numbers
+
+    numbered = row_numbers(df, order)
+    after = numbered.select((F.col("row_index") - 1).alias("row_index"), F.col(text).alias("__next"))
+    return numbered.join(after, "row_index").where("__next IS NOT NULL")
+
+
+def overlap_summary(df: DataFrame, order: str, text: str = "text", reach: int = 200, least: int = 20) -> DataFrame:
+    """has_overlap, total_compared, overlapping_pairs, overlap_rate, avg_overlap_chars and avg_overlap_words of the sampled pairs: one row.
+
+    The pairs that start at the places of sampled_pairs are compared, as far as both texts are there and not empty. Means are
+    over overlapping pairs and null without one; the rate is 0 without a pair.
+    """
+    from loamline.functions.text import word_count
+    from loamline.operators.shards import row_numbers
+
+    at = sampled_pairs(df.select(order, text), order)
+    # the sampled rows and those after them: a bounded number
+    near = at.select(F.explode(F.array("row_index", F.col("row_index") + 1)).alias("row_index")).distinct()
+    rows = row_numbers(df.select(order, text), order).join(F.broadcast(near), "row_index").select("row_index", text)
+    pairs = at.select("row_index", F.col(text).alias("__a")).join(rows.select((F.col("row_index") - 1).alias("row_index"), F.col(text).alias("__b")), "row_index")
+    pairs = pairs.where((F.coalesce("__a", F.lit("")) != "") & (F.coalesce("__b", F.lit("")) != "")).withColumn("k", overlap_length(F.col("__a"), F.col("__b"), reach, least))
+    hit = F.col("k") > 0
+    out = pairs.agg(
+        F.count("*").alias("total_compared"), F.count_if(hit).alias("overlapping_pairs"), F.avg(F.when(hit, F.col("k"))).alias("avg_overlap_chars"),
+        F.avg(F.when(hit, word_count(F.right(F.col("__a"), F.col("k"))))).alias("avg_overlap_words"),
+    )
+    rate = F.when(F.col("total_compared") > 0, F.col("overlapping_pairs") / F.col("total_compared")).otherwise(0.0)
+    return out.select((F.col("overlapping_pairs") > 0).alias("has_overlap"), "total_compared", "overlapping_pairs", rate.alias("overlap_rate"), "avg_overlap_chars", "avg_overlap_words")
+
+
 def quick_overlap(df: DataFrame, order: str, text: str = "text", reach: int = 100, most: int = 80) -> DataFrame:
     """has_overlap: whether a suffix (up to `most` characters) of the first row starts the second; null with fewer than two rows."""
     pair = df.select(order, text).orderBy(order).limit(2).agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("p"))  # two rows

@@ -55,14 +55,16 @@ def flatten(chunks: DataFrame) -> DataFrame:
 def row_numbers(df: DataFrame, order: str) -> DataFrame:
     """Add row_index, gapless from 0 in the order of a column, without a single-task window.
 
-    Rows are dealt by range, ranked within their partition, and shifted by the rows of the partitions before. The dealt
-    rows are a table in the shared folder: ranges come from a sample, and a second one could differ.
+    Rows are dealt by range, ranked within their partition, and shifted by the rows of the partitions before. Ties are ordered
+    by a hash of the row, so that one repeated value does not fall into a single range. The dealt rows are a table in the
+    shared folder: ranges come from a sample, and a second one could differ.
     """
-    dealt = materialise(df.repartitionByRange(order).withColumn("__part", F.spark_partition_id()), "ranges")
-    ranked = dealt.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(order)))
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if not kind.startswith(("map", "variant"))])
+    dealt = materialise(df.withColumn("__tie", tie).repartitionByRange(order, "__tie").withColumn("__part", F.spark_partition_id()), "ranges")
+    ranked = dealt.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(order, "__tie")))
     counts = ranked.groupBy("__part").agg(F.count("*").alias("__n"))
     before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # one row a partition
-    return ranked.join(before, "__part").withColumn("row_index", F.col("__before") + F.col("__rank") - 1).drop("__part", "__rank", "__before")
+    return ranked.join(before, "__part").withColumn("row_index", F.col("__before") + F.col("__rank") - 1).drop("__part", "__rank", "__before", "__tie")
 
 
 def rows_per_shard(df: DataFrame, config: ShardConfig, order: str, text: str = "text") -> int:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.functions.chunking import ChunkConfig, chunk
-from loamline.functions.cleaning import CleanConfig, clean
+from loamline.functions.cleaning import MIN_CLEANED, CleanConfig, clean
 from loamline.functions.language import readability
 from loamline.functions.quality import QualityConfig, gate_reason, with_metrics
+from loamline.functions.text import strip, word_count
 from loamline.operators.annotate import CATEGORIES, annotation_records, categorise, count_by
 from loamline.operators.dedup import LshConfig, exact_dedup, near_dedup
 from loamline.operators.guard import FilterConfig, apply_filter
@@ -86,17 +87,32 @@ def gate_chunks(chunks: DataFrame, config: PipelineConfig, order: tuple[str, ...
     return out.withColumn("stage", F.col("__late.stage")).withColumn("reason", F.col("__late.reason")).drop("__early", "__gate", "__late", "is_duplicate", "is_near_duplicate")
 
 
+def filter_chunks(chunks: DataFrame, config: FilterConfig, lost: str) -> DataFrame:
+    """The filter's chunking stage: chunks that it rejects, or that have under MIN_CLEANED characters after it, get a stage and a reason in `lost`.
+
+    Rows where `lost` is set already pass as they are. The counts are those of the filtered text.
+    """
+    if not config.active("chunking"):
+        return chunks
+    columns = chunks.columns
+    out = apply_filter(chunks.withColumn("__seen", F.when(F.col(lost).isNull(), F.col("text"))), config, "chunking", "__seen")
+    why = F.when(F.col("filter_action") == "rejected", "filter_rejected").when(F.length(strip(F.col("__seen"))) < MIN_CLEANED, "too_short_after_filter")
+    fresh = F.col(lost).isNull()
+    out = out.withColumn("text", F.when(fresh & F.col("__seen").isNotNull(), F.col("__seen")).otherwise(F.col("text")))
+    out = out.withColumn(lost, F.when(fresh & why.isNotNull(), F.struct(F.lit("chunking").alias("stage"), why.alias("reason"))).otherwise(F.col(lost)))
+    return out.withColumn("word_count", word_count(F.col("text"))).withColumn("char_count", F.length("text").cast("long")).select(columns)
+
+
 def prepare(docs: DataFrame, config: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Chunks of the cleaned documents with stage and reason of what is dropped; null reason: kept.
 
     Every document has a row: one that fails cleaning, or has no chunk, is a row without chunk_id, as is a last group that is too short.
+    The filter runs on cleaned texts, on chunks, and before the gate, in the stages that its configuration names.
     """
-    filtered = apply_filter(docs, config.filter, "cleaning").withColumn("__rejected", F.col("filter_action") == "rejected").select(*docs.columns, "__rejected")
-    cleaned = clean(filtered, config.clean)
-    reason = F.when(F.col("__rejected"), "filter_rejected").otherwise(F.col("cleaning_reason"))
-    lost = F.when(F.col("__rejected") | ~F.col("cleaning_success"), F.struct(F.lit("cleaning").alias("stage"), reason.alias("reason")))
+    cleaned = clean(docs, config.clean, guard=lambda rows: apply_filter(rows, config.filter, "cleaning", "cleaned"))
+    lost = F.when(~F.col("cleaning_success"), F.struct(F.lit("cleaning").alias("stage"), F.col("cleaning_reason").alias("reason")))
     texts = cleaned.select(*[c for c in docs.columns if c != "text"], F.col("cleaned").alias("text"), lost.alias("__lost"))
-    return gate_chunks(chunk(texts, config.chunk, lost="__lost"), config)
+    return gate_chunks(filter_chunks(chunk(texts, config.chunk, lost="__lost"), config.filter, "__lost"), config)
 
 
 def removal_report(gated: DataFrame) -> DataFrame:
@@ -105,7 +121,7 @@ def removal_report(gated: DataFrame) -> DataFrame:
 
 
 def run(docs: DataFrame, out: str, config: PipelineConfig = PipelineConfig()) -> dict[str, DataFrame]:
-    """Write gated chunks, shards and annotation lines below `out`; returns the report, shard metadata and counts by category."""
+    """Write gated chunks, shards, annotation lines and the metadata of both below `out`; returns the report, shard metadata and counts by category."""
     spark = docs.sparkSession
     prepare(docs, config).write.mode("overwrite").parquet(f"{out}/chunks")
     gated = spark.read.parquet(f"{out}/chunks")
@@ -113,4 +129,9 @@ def run(docs: DataFrame, out: str, config: PipelineConfig = PipelineConfig()) ->
     meta = write_shards(kept, f"{out}/shards", config.shards, "chunk_id")
     exported = annotation_records(categorise(kept, config.categories))
     write_json_lines(exported, f"{out}/annotations", "niche")
-    return {"report": removal_report(gated), "shards": meta, "categories": count_by(exported)}
+    counts = count_by(exported)
+    now = F.current_timestamp().alias("created_at")
+    meta.withColumn("created_at", now).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(f"{out}/shards_metadata")  # one row
+    export = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_chunks"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("niche", "n")))).alias("niches"))
+    export.withColumn("export_timestamp", now).coalesce(1).write.mode("overwrite").json(f"{out}/export_metadata")  # a row with an entry for each category
+    return {"report": removal_report(gated), "shards": meta, "categories": counts}

@@ -108,13 +108,13 @@ def remove_phones(spark, d):
     return s.select("doc_id", cl.remove_phones(F.col("text")).alias("cleaned"))
 
 
-S_SPACED = "replace(text, '. ', '.  ' || chr(10) || chr(10) || ' ' || chr(10))"
-S_NORMAL = lambda c: s_strip(f"array_to_string(list_transform(string_split(regexp_replace(regexp_replace({c}, ' +', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), chr(10)), lambda x: {s_strip('x')}), chr(10))")
+S_SPACED = "chr(10) || chr(10) || replace(text, '. ', '.  ' || chr(10) || chr(10) || ' ' || chr(10)) || ' ' || chr(10)"
+S_NORMAL = lambda c: f"array_to_string(list_transform(string_split(regexp_replace(regexp_replace({c}, ' +', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), chr(10)), lambda x: {s_strip('x')}), chr(10))"
 
 
 @query(f"SELECT doc_id, {S_NORMAL(S_SPACED)} AS cleaned FROM documents")
 def normalise_whitespace(spark, d):
-    c = F.replace(F.col("text"), F.lit(". "), F.lit(".  \n\n \n"))
+    c = F.concat(F.lit("\n\n"), F.replace(F.col("text"), F.lit(". "), F.lit(".  \n\n \n")), F.lit(" \n"))
     return docs(spark, d).select("doc_id", cl.normalise_whitespace(c).alias("cleaned"))
 
 
@@ -178,25 +178,28 @@ def chunk_fixed_overlap(spark, d):
     return _chunks(docs(spark, d), ch.ChunkConfig("fixed", 50, 100, 20))
 
 
-def s_packed(parts: str, least: int, most: int) -> str:
-    """Greedy packing without overlap by a recursive walk over the parts (their starts)."""
+def s_packed(parts: str, least: int, most: int, overlap: int) -> str:
+    """Greedy packing by a recursive walk over the parts: lo is where the group starts, done the group that a part closes."""
+    full = f"w.i > w.lo AND w.held + p.k[w.i] > {most}"
+    tail = f"list_min(list_filter(range(w.lo, w.i + 1), lambda j: list_sum(p.k[j : w.i - 1]) <= {overlap} OR j = w.i))"
     return f"""WITH RECURSIVE p0 AS (SELECT doc_id, text, len({s_words('text')}) AS n, {parts} AS p FROM documents),
 p AS (SELECT doc_id, text, n, p, list_transform(p, lambda x: len({s_words('x')})) AS k FROM p0),
-walk AS (SELECT doc_id, 1 AS i, 0 AS g, 0 AS held FROM p WHERE n >= {least} AND len(p) > 0
-  UNION ALL SELECT w.doc_id, w.i + 1, CASE WHEN w.held > 0 AND w.held + p.k[w.i] > {most} THEN w.g + 1 ELSE w.g END, CASE WHEN w.held > 0 AND w.held + p.k[w.i] > {most} THEN p.k[w.i] ELSE w.held + p.k[w.i] END
-  FROM walk w JOIN p ON w.doc_id = p.doc_id WHERE w.i <= len(p.k)),
-groups AS (SELECT w.doc_id, w.g, min(w.i - 1) AS lo, max(w.i - 1) AS hi FROM walk w WHERE w.i > 1 GROUP BY w.doc_id, w.g),
-made AS (SELECT p.doc_id, g.g AS chunk_index, array_to_string(p.p[g.lo : g.hi], ' ') AS text, list_sum(p.k[g.lo : g.hi]) AS k, g.hi = len(p.p) AS last FROM groups g JOIN p ON g.doc_id = p.doc_id
-  UNION ALL SELECT doc_id, 0, text, n, false FROM p WHERE n < {least} AND n >= 50)
-SELECT doc_id, chunk_index::BIGINT AS chunk_index, md5(text) AS digest, len({s_words('text')}) AS word_count FROM made WHERE NOT last OR k >= {least}"""
+walk AS (SELECT doc_id, 1::BIGINT AS i, 1::BIGINT AS lo, 0::HUGEINT AS held, NULL::BIGINT AS done, 0::BIGINT AS g FROM p WHERE n >= {least} AND len(p) > 0
+  UNION ALL SELECT doc_id, i + 1, start, coalesce(list_sum(k[start : i]), 0)::HUGEINT, done, g + (done IS NOT NULL)::BIGINT
+  FROM (SELECT w.doc_id, w.i, w.g, p.k, CASE WHEN {full} THEN {tail} ELSE w.lo END AS start, CASE WHEN {full} THEN w.lo END AS done FROM walk w JOIN p ON w.doc_id = p.doc_id WHERE w.i <= len(p.k))),
+groups AS (SELECT doc_id, g - 1 AS g, done AS lo, i - 2 AS hi, false AS last FROM walk WHERE done IS NOT NULL
+  UNION ALL SELECT w.doc_id, w.g, w.lo, len(p.p), true FROM walk w JOIN p ON w.doc_id = p.doc_id WHERE w.i = len(p.p) + 1 AND w.held >= {least}),
+made AS (SELECT p.doc_id, g.g AS chunk_index, array_to_string(p.p[g.lo : g.hi], ' ') AS text FROM groups g JOIN p ON g.doc_id = p.doc_id
+  UNION ALL SELECT doc_id, 0, text FROM p WHERE n < {least} AND n >= 50)
+SELECT doc_id, chunk_index::BIGINT AS chunk_index, md5(text) AS digest, len({s_words('text')}) AS word_count FROM made"""
 
 
-@query(s_packed(S_SENTENCES, 50, 100))
+@query(s_packed(S_SENTENCES, 50, 100, 0))
 def chunk_sentence(spark, d):
     return _chunks(docs(spark, d), ch.ChunkConfig("sentence", 50, 100, 0))
 
 
-@query()
+@query(s_packed(S_SENTENCES, 50, 100, 20))
 def chunk_sentence_overlap(spark, d):
     return _chunks(docs(spark, d), ch.ChunkConfig("sentence", 50, 100, 20))
 
@@ -406,7 +409,7 @@ def size_classes(spark, d):
     return docs(spark, d).groupBy(c.alias("size_class")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH w AS (SELECT doc_id, i, array_to_string({s_words('text')}[i * 80 + 1 : i * 80 + 100], ' ') AS text FROM documents, range(0, 300) r(i) WHERE i = 0 OR i * 80 + 20 < len({s_words('text')})),
+@query(f"""WITH w AS (SELECT doc_id, i, array_to_string({s_words('text')}[i * 80 + 1 : i * 80 + 100], ' ') AS text FROM (SELECT doc_id, text, unnest(range(0, greatest(1, ceil((len({s_words('text')}) - 20) / 80)::BIGINT))) AS i FROM documents) WHERE len({s_words('text')}) > 0),
 p AS (SELECT doc_id, i, text, lead(text) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM w),
 o AS (SELECT doc_id, i, text, coalesce(list_max(list_filter(range(20, 201), lambda n: n <= least(length(text), length(after)) AND right(text, n) = left(after, n))), 0) AS k FROM p WHERE after IS NOT NULL)
 SELECT doc_id, i AS chunk_index, k AS overlap_chars FROM o""")
@@ -416,6 +419,17 @@ def chunk_overlap(spark, d):
     return out.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("overlap_chars").cast("long").alias("overlap_chars"))
 
 
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+def group_counts(spark, d):
+    return pr.group_counts(docs(spark, d), "source")
+
+
+@query("SELECT lang, round(count(*) FILTER (n_chars > 500) / count(*), 9) AS completion FROM documents GROUP BY lang")
+def completion(spark, d):
+    done = docs(spark, d).groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") > 500).alias("done"))
+    return done.select("lang", F.round(an.completion(F.col("n"), F.col("done")), 9).alias("completion"))
+
+
 @query("SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 3")
 def head(spark, d):
     return pr.head(docs(spark, d).select("doc_id", "n_chars"), "doc_id")
@@ -435,6 +449,7 @@ def _tasks(spark, d) -> DataFrame:
     none, no = F.lit(None).cast("array<string>"), F.lit(None).cast("bigint")
     newest = F.array(
         item("instruction", F.array(F.lit("older")), none, no), item("instruction", F.array("u"), none, no), item("response", F.array("a"), none, no),
+        item("input_context", F.when(F.col("conv_id") % 2 == 0, F.array(F.concat(F.lit("context "), F.col("conv_id").cast("string")))).otherwise(none), none, no),
         item("niche", none, F.array(F.when(F.col("conv_id") % 3 == 0, "science").otherwise("")), no), item("quality", none, none, F.col("conv_id") % 5),
     )
     old = F.struct(F.lit("2020").alias("created_at"), F.array(item("response", F.array(F.lit("old")), none, no)).alias("result"))
@@ -444,7 +459,7 @@ def _tasks(spark, d) -> DataFrame:
 
 
 S_SFT = """c AS (SELECT conv_id, arg_min(text, turn) FILTER (role = 'user') AS u, arg_min(text, turn) FILTER (role = 'assistant') AS a FROM conversations GROUP BY conv_id),
-s AS (SELECT conv_id::VARCHAR AS id, coalesce(u, '') AS instruction, '' AS input, coalesce(a, '') AS response, CASE WHEN conv_id % 3 = 0 THEN 'science' ELSE 'general' END AS niche, conv_id % 5 AS quality_rating, coalesce(u, '') AS original_text, '2021' AS annotation_timestamp FROM c WHERE conv_id % 7 <> 0)"""
+s AS (SELECT conv_id::VARCHAR AS id, coalesce(u, '') AS instruction, CASE WHEN conv_id % 2 = 0 THEN 'context ' || conv_id ELSE '' END AS input, coalesce(a, '') AS response, CASE WHEN conv_id % 3 = 0 THEN 'science' ELSE 'general' END AS niche, conv_id % 5 AS quality_rating, coalesce(u, '') AS original_text, '2021' AS annotation_timestamp FROM c WHERE conv_id % 7 <> 0)"""
 
 
 @query(f"WITH {S_SFT} SELECT * FROM s")
@@ -487,16 +502,25 @@ def sampled_pairs(spark, d):
     return pr.sampled_pairs(docs(spark, d).select("doc_id"), "doc_id").select("doc_id")
 
 
+@query(f"""WITH n AS (SELECT text AS a, lead(text) OVER (ORDER BY doc_id) AS b, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS t FROM documents),
+p AS (SELECT a, b FROM n WHERE (i < 5 OR i BETWEEN t // 2 - 2 AND t // 2 + 2 OR i >= t - 6) AND i < t - 1 AND a <> '' AND b <> ''),
+k AS (SELECT a, coalesce(list_max(list_filter(range(20, 201), lambda n: n <= least(length(a), length(b)) AND right(a, n) = left(b, n))), 0) AS k FROM p)
+SELECT count(*) FILTER (k > 0) > 0 AS has_overlap, count(*) AS total_compared, count(*) FILTER (k > 0) AS overlapping_pairs, count(*) FILTER (k > 0) / count(*) AS overlap_rate,
+  avg(k) FILTER (k > 0) AS avg_overlap_chars, avg(len({s_words('right(a, k)')})) FILTER (k > 0) AS avg_overlap_words FROM k""")
+def overlap_summary(spark, d):
+    return pr.overlap_summary(docs(spark, d).select("doc_id", "text"), "doc_id")
+
+
 @query("SELECT 'documents' AS stage, count(*) AS n, round(avg(length(text)), 6) AS mean_chars FROM documents UNION ALL SELECT 'benchmark', count(*), round(avg(length(text)), 6) FROM benchmark")
 def stage_counts(spark, d):
     return pr.stage_counts({"documents": docs(spark, d), "benchmark": table(spark, d, "benchmark")}).withColumn("mean_chars", F.round("mean_chars", 6))
 
 
-@query("SELECT '/in/' || page_id || '.' || s AS source_path, CASE s WHEN 'txt' THEN 'text' WHEN 'HTM' THEN 'html' ELSE 'unknown' END AS file_type, s <> 'bin' AS success FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'HTM' WHEN 1 THEN 'txt' ELSE 'bin' END AS s FROM pages)")
+@query("SELECT '/in/' || page_id || '.' || s AS source_path, CASE s WHEN 'txt' THEN 'text' WHEN 'HTM' THEN 'html' ELSE 'unknown' END AS file_type, s <> 'bin' AS success, CASE WHEN s = 'txt' THEN md5(html) END AS text_digest FROM (SELECT page_id, html, CASE page_id % 3 WHEN 0 THEN 'HTM' WHEN 1 THEN 'txt' ELSE 'bin' END AS s FROM pages)")
 def extract_files(spark, d):
     suffix = F.when(F.col("page_id") % 3 == 0, "HTM").when(F.col("page_id") % 3 == 1, "txt").otherwise("bin")
     files = table(spark, d, "pages").select(F.concat(F.lit("/in/"), "page_id", F.lit("."), suffix).alias("path"), F.encode("html", "UTF-8").alias("content"))
-    return ex.extract_files(files).select("source_path", "file_type", "success")
+    return ex.extract_files(files).select("source_path", "file_type", "success", F.when(F.col("file_type") == "text", F.md5("text")).alias("text_digest"))
 
 
 @query()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,9 +26,12 @@ def get_spark(app: str = "loamline", master: str | None = None, **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, for tables that cut a lineage: spark.checkpoint.dir, or one of this machine where it is unset (tests)."""
+    """The folder that driver and executors share, for tables that cut a lineage: spark.checkpoint.dir. Where it is unset a local
+    session (tests) gets one of this machine; on a cluster this is an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="loamline-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loamline.functions.text import strip
+from loamline.operators.guard import FilterConfig, apply_filter
 
 #: Folder below the root, and the file name patterns read from it.
 LAYOUT = {"pdf": ("*.pdf",), "html": ("*.html", "*.htm"), "text": ("*.txt", "*.text", "*.docx", "*.doc")}
@@ -145,11 +146,12 @@ def scan_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
 
 
-def extract_files(files: DataFrame, extracted: Column | None = None) -> DataFrame:
+def extract_files(files: DataFrame, extracted: Column | None = None, guard: FilterConfig | None = None) -> DataFrame:
     """source_path, filename, file_type, text, success, text_length and extraction_timestamp of each file.
 
     Kinds without an extractor and files that can't be read have a null text and success false. The key is the whole
-    path, so equal names in different folders stay apart.
+    path, so equal names in different folders stay apart. With a guard active at the extraction stage, texts are filtered: a
+    rejected file has a null text and success false, and filter_action, patterns_detected and filter_confidence are added.
     """
     extractors = dict(EXTRACTORS)
 
@@ -166,7 +168,10 @@ def extract_files(files: DataFrame, extracted: Column | None = None) -> DataFram
     out = files.select(F.col("path").alias("source_path"), F.element_at(F.split("path", "/"), -1).alias("filename"), file_kind(F.col("path")).alias("file_type"), "content")
     out = out.withColumn("text", run("file_type", "content")).drop("content")
     out = out.withColumn("text", F.when(F.col("file_type") == "html", tidy_lines(F.col("text"))).otherwise(F.col("text")))
+    found: list[str] = []
+    if guard is not None and guard.active("extraction"):
+        out, found = apply_filter(out, guard, "extraction"), ["filter_action", "patterns_detected", "filter_confidence"]
     return out.select(
         "source_path", "filename", "file_type", "text", F.col("text").isNotNull().alias("success"), F.coalesce(F.length("text"), F.lit(0)).alias("text_length"),
-        (extracted if extracted is not None else F.lit(None).cast("timestamp")).alias("extraction_timestamp"),
+        (extracted if extracted is not None else F.lit(None).cast("timestamp")).alias("extraction_timestamp"), *found,
     )

@@ -46,6 +46,7 @@ def test_cleaning(spark):
     assert value(spark, cl.remove_urls(T), "see http://a.b/c?d=1, ok") == "see  ok"
     assert value(spark, cl.clean_expression(T), "“x”") == "“x”"
     assert value(spark, cl.straighten_quotes(T), "“x” ‘y’") == "\"x\" 'y'"
+    assert value(spark, cl.normalise_whitespace(T), "\n\nhead  line \n\n\n\n tail \n\n") == "\n\nhead line\n\ntail\n\n"
     assert value(spark, cl.remove_short_lines(T, 10), "123456789\n1234567890\n\nx") == "1234567890\n"
     out = cl.clean(spark.createDataFrame([(None, "en"), ("  ", "en"), ("short", "en"), ("word " * 20, "fr"), ("word " * 20, None)], "text string, lang string"), cl.CleanConfig(languages=("en",)))
     assert [r.cleaning_reason for r in out.collect()] == ["empty_text", "empty_text", "too_short", "language", None]
@@ -165,3 +166,51 @@ def test_language_functions():
     assert la.guess_language("der Hund und die Katze sind nicht in dem Haus") == "de"
     assert la.repair("cafÃ©") == "café" and la.repair("café") == "café" and la.repair(None) is None
     assert la.reading_ease("") == 50.0 and la.reading_ease("The cat sat.") > 100
+
+
+@pytest.mark.parametrize("method,most", [("fixed", 2), ("sentence", 5), ("paragraph", 8)])
+def test_texts_are_split_once(spark, method, most):
+    """A plan that splits its text for each use grows with every chunk."""
+    df = spark.createDataFrame([(1, "a b")], "doc_id int, text string")
+    plan = ch.chunk(df, ch.ChunkConfig(method, 50, 100, 20))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= most
+
+
+def test_long_text(spark):
+    """Chunks of a text of 200,000 words: its time grows with the words, not with their square."""
+    df = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some more words here. Then again it goes "), 25_000).alias("text"))
+    for method in ("fixed", "sentence"):
+        n = ch.chunk(df, ch.ChunkConfig(method, 50, 100, 20)).agg(F.count("*"), F.max("word_count")).first()
+        assert n[0] >= 2000 and n[1] == 100
+
+
+def test_patterns_of_other_dialects(spark):
+    config = gu.FilterConfig(("(?P<w>foo)", "c(?#note)at", "(?P<a>x)(?P=a)", "(broken", "(?P<bad"), "remove", 0)
+    assert config.invalid_patterns() == ["(broken", "(?P<bad"]
+    df = spark.createDataFrame([("a FOO b",), ("the cat",), ("xx",), ("x y",)], "text string")
+    assert [r.text for r in gu.apply_filter(df, config).collect()] == ["a  b", "the", "", "x y"]
+
+
+def plain_sections(text, places, context):
+    """The rule restated: look back and ahead for a paragraph end, then a sentence end, then stay."""
+    out = []
+    for a, b in places:
+        lo, hi = max(0, a - context), min(len(text), b + context)
+        at = [i for i in range(max(0, lo - 200), lo - 1) if text[i : i + 2] == "\n\n"] or [i for i in range(max(0, lo - 100), lo - 1) if text[i : i + 2] in (". ", ".\n")]
+        after = [i for i in range(hi, min(len(text), hi + 200) - 1) if text[i : i + 2] == "\n\n"]
+        dots = [i + 1 for i in range(hi, min(len(text), hi + 100) - 1) if text[i : i + 2] in (". ", ".\n")]
+        out.append((at[-1] + 2 if at else lo, (after or dots or [hi])[0]))
+    return {i for lo, hi in out for i in range(lo, hi)}
+
+
+def test_sections_against_a_restatement():
+    import random
+
+    random.seed(4)
+    for _ in range(300):
+        text = "".join(random.choice(["ab", " ", ". ", ".\n", "\n", "\n\n", "wordwordword"]) for _ in range(random.randrange(1, 200)))
+        places = sorted((a, min(len(text), a + random.randrange(1, 6))) for a in (random.randrange(len(text)) for _ in range(random.randrange(1, 5))))
+        context = random.choice([0, 3, 40])
+        got = gu.sections(text, places, context)
+        assert {i for lo, hi in got for i in range(lo, hi)} == plain_sections(text, places, context)
+        assert all(a[1] < b[0] for a, b in zip(got, got[1:]))

@@ -1,5 +1,5 @@
 import importlib
-import sys
+import importlib.util
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +40,54 @@ def test_rejected_document_keeps_its_reason(spark):
     assert out == {1: ("cleaning", "filter_rejected"), 2: (None, None)}
 
 
+def test_filter_stages(spark):
+    """Cleaning: after URLs are gone. Chunking: rejected or emptied chunks stay with a reason."""
+    long = " ".join(f"v{i}" for i in range(80))
+    rows = [(1, f"{long} http://secret.example.org/x", "en"), (2, f"{long} secret words here", "en"), (3, long, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def reasons(action, *stages, context=500):
+        config = pl.PipelineConfig(filter=pl.FilterConfig(("secret",), action, context, stages=stages), lsh=None)
+        return {r.doc_id: (r.stage, r.reason, r.word_count) for r in pl.prepare(docs, config).collect()}
+
+    got = reasons("reject", "cleaning")
+    assert got[1][:2] == (None, None) and got[2][:2] == ("cleaning", "filter_rejected")
+    got = reasons("reject", "chunking")
+    assert got[1][:2] == (None, None) and got[2][:2] == ("chunking", "filter_rejected")
+    assert reasons("remove", "chunking")[2][:2] == ("chunking", "too_short_after_filter")
+    got = reasons("remove", "chunking", context=10)
+    assert got[2][:2] == (None, None) and 60 < got[2][2] < 83
+
+
+def test_rows_are_kept_or_have_a_reason(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = pl.prepare(docs, pl.PipelineConfig(chunk=ChunkConfig("fixed", 50, 200, 0)))
+    assert rows.select("doc_id").distinct().count() == docs.count()
+    assert rows.where("(stage IS NULL) <> (reason IS NULL)").count() == 0
+    assert sum(r.n for r in pl.removal_report(rows).collect()) == rows.count()
+
+
+def test_extraction_filter(spark):
+    from loamline.sources import extract as ex
+
+    files = spark.createDataFrame([("/in/a.txt", bytearray(b"a secret")), ("/in/b.txt", bytearray(b"open"))], "path string, content binary")
+    out = {r.filename: (r.text, r.success, r.filter_action) for r in ex.extract_files(files, guard=pl.FilterConfig(("secret",), "reject")).collect()}
+    assert out == {"a.txt": (None, False, "rejected"), "b.txt": ("open", True, "none")}
+
+
+def test_overlap_of_a_whole_table(spark):
+    from loamline.operators import profile as pr
+
+    tail = "the end of the one is the head of the next"
+    rows = [(0, f"first text {tail}"), (1, f"{tail} second"), (2, "third"), (3, None)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    got = {r.id: (r.overlap_chars, r.overlap_words) for r in pr.consecutive_overlap(df, ["id"], []).collect()}
+    assert got == {0: (len(tail), 11), 1: (0, 0)}
+    one = pr.overlap_summary(df, "id").first()
+    assert (one.has_overlap, one.total_compared, one.overlapping_pairs, one.overlap_rate, one.avg_overlap_words) == (True, 2, 1, 0.5, 11.0)
+    assert pr.overlap_summary(df.limit(0), "id").first().total_compared == 0
+
+
 def test_options_reach_the_gate(spark):
     base = [f"w{i}" for i in range(60)]
     rows = [(1, 0, "a", " ".join(base)), (2, 0, "b", " ".join(base[:40] + [f"v{i}" for i in range(20)])), (3, 0, "c", "Incomprehensibility institutionalisation " * 30), (4, 0, "d", "The cat sat. The dog ran. " * 12)]
@@ -57,6 +105,7 @@ def test_run_writes_everything(spark, tmp_path):
     report = {(r.stage, r.reason): r.n for r in out["report"].collect()}
     kept = report["kept", "kept"]
     assert spark.read.parquet(str(tmp_path / "shards")).count() == kept == out["shards"].first().total_chunks
+    assert spark.read.json(str(tmp_path / "shards_metadata")).first().total_chunks == kept == spark.read.json(str(tmp_path / "export_metadata")).first().total_chunks
     assert sum(r.n for r in out["categories"].collect()) == kept == spark.read.json(str(tmp_path / "annotations")).count()
 
 
@@ -82,9 +131,8 @@ def test_entry(spark, monkeypatch):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
-    monkeypatch.setitem(sys.modules, "loamline.llm", None)
-    monkeypatch.setitem(sys.modules, "loamline.llm.queries", None)
-    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    find = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name in ("loamline.llm", "corpus_pipeline") else find(name, *a))
     bare = importlib.reload(e)
     assert not any(k.startswith("op1_") or k == "pipeline" for k in bare.queries())
     monkeypatch.undo()
