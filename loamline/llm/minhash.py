@@ -326,15 +326,15 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     # rows without a set get a key that no set has, so that they don't meet in one task
     alone = F.concat(F.lit(b"\0"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.monotonically_increasing_id().cast("string"))).cast("binary"))
     rows = signed.select("doc_id", "n_shingles", F.coalesce("set_key", alone).alias("set_key")).join(sets.select("set_key", "id"), "set_key", "left")
-    rows = work.write(rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("id")), "rows")
+    rows = work.write(rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")).alias("node")), "rows")
     work.drop("signed")
     members = sets.select("id", F.explode("bands").alias("bucket"))  # cheap to make twice, large to store
     several = members.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     shared = work.write(members.join(several.select("bucket", "least"), "bucket").hint("rebalance"), "shared")
     pairs = shared.where("id > least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     pairs = work.write(_agreeing(pairs, sets, settings), "pairs")
-    repeated = rows.where("id IS NOT NULL").groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("doc_id")
-    same = rows.join(repeated, "doc_id", "left_semi").where("id < doc_id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    repeated = rows.where("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("doc_id")
+    same = rows.join(repeated, "doc_id", "left_semi").where("node < doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     found = components(verify(pairs, docs, settings, key, text).unionByName(same))
     work.drop("pairs")
     rooted = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
@@ -352,7 +352,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
         more = _links_between(apart, full, settings)
         found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
         work.drop("apart")
-    out = rows.withColumn("node", F.coalesce("id", "doc_id")).join(found, "node", "left")
+    out = rows.join(found, "node", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("root", "node").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
@@ -361,14 +361,14 @@ def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings(), key:
     """The rows of docs, one of each class of near-duplicates: the one with the least id.
 
     Rows that repeat an id are one document: all its texts go if the document's class has a lesser id, and else the least of its rows stays (by text, then the other columns). Rows with a null id all stay, since
-    nothing names them. Texts without words are kept. The columns are those of docs.
+    nothing names them. Texts without words are kept. The columns are those of docs. The list of ids that go is broadcast only while
+    a count finds it within settings.broadcast_ids; beyond that both sides are shuffled.
     """
-    kept = near_duplicates(docs, settings, key, text).where("kept").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("__n"))
-    kept = Scratch(docs.sparkSession, "near").write(kept, "kept")
-    once = docs.join(kept.where("__n = 1").select(key), key, "left_semi")
-    unnamed = docs.where(F.col(f"`{key}`").isNull())
-    out = once.select(docs.columns).unionByName(unnamed)
-    repeated = kept.where("__n > 1").select(key)
+    by_id = near_duplicates(docs, settings, key, text).where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.max("kept").alias("__kept"), F.count("*").alias("__n"))
+    special = Scratch(docs.sparkSession, "near").write(by_id.where("NOT __kept OR __n > 1"), "special")
+    few = special.count() <= settings.broadcast_ids
+    out = docs.join(F.broadcast(special.select(key)) if few else special.select(key), key, "left_anti").select(docs.columns)
+    repeated = special.where("__kept").select(key)
     if not repeated.isEmpty():
         order = [text, *[c for c in docs.columns if c not in (key, text)]]
         least = docs.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*order)).alias("__row"))

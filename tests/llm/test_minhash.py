@@ -113,6 +113,9 @@ def test_repeated_ids_are_one_document(spark):
     df = spark.createDataFrame([(3, t), (5, t), (5, u), (7, u), (8, v), (9, v), (9, v)], "doc_id long, text string")
     assert as_dict(M.near_duplicates(df)) == {3: (2, 3), 5: (2, 3), 7: (2, 3), 8: (2, 8), 9: (2, 8)}
     assert [r.doc_id for r in M.drop_near_duplicates(df).orderBy("doc_id").collect()] == [3, 8]
+    assert [r.doc_id for r in M.drop_near_duplicates(df, M.Settings(broadcast_ids=0)).orderBy("doc_id").collect()] == [3, 8]
+    half = spark.createDataFrame([(3, t), (5, ""), (5, t), (6, ""), (6, u)], "doc_id long, text string")
+    assert [tuple(r) for r in M.drop_near_duplicates(half).orderBy("doc_id").collect()] == [(3, t), (6, "")]
 
 
 def test_ids_as_text(spark):
