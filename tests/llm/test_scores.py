@@ -109,3 +109,68 @@ def test_longest_share_counts_every_word():
         words[i] = "spam"
     share = ranking.features_of(" ".join(words), ranking.BoundedCache(ranking._marks))[ranking.FEATURES.index("longest_share")]
     assert share == 8 / 40
+
+
+def test_every_pair_counts():
+    """At the end the gradient over all pairs, summed one by one, vanishes; far beyond the rows of the first steps."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, len(ranking.FEATURES)))
+    y = (x[:, 0] - x[:, 1] + rng.normal(size=1500) > 0.3).astype(int)
+    model = ranking.fit(x, y, warm_rows=20, tolerance=1e-6)
+    w, total = np.array(model.weights), 0.0
+    bad = x[y == 0]
+    for row in x[y == 1]:
+        d = row - bad
+        total = total - (1 / (1 + np.exp(np.clip(d @ w, -500, 500)))) @ d
+    n = (y == 1).sum() * (y == 0).sum()
+    assert np.abs(total / n + 2e-3 * w).max() < 1e-4
+
+
+def test_quality_query_against_plain_scoring(spark, sf, corpus):
+    import math
+
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    chosen = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    marks = ranking.BoundedCache(ranking._marks)
+    features = {i: ranking.features_of(t, marks) for i, t in corpus}
+    usable = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
+    model = ranking.train(docs, labels, usable)
+    known = [i for i in chosen if i in features]
+    again = ranking.fit(np.array([features[i] for i in known]), np.array([chosen[i] for i in known]))
+    assert np.allclose(model.weights, again.weights, atol=1e-2) and len(known) > 100
+    for r in queries.op1_quality(spark, sf).collect():
+        z = sum(w * f for w, f in zip(model.weights, features[r.doc_id])) - model.threshold
+        assert r.score == pytest.approx(1 / (1 + math.exp(-max(-500, min(500, z)))), abs=1e-9) and r.predicted == (r.score >= 0.5)
+
+
+def test_toxicity_query_against_plain_trees(spark, sf, corpus):
+    """Trees walked node by node, the isotonic steps by a search in plain Python."""
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    lexicon, forest = toxicity.train(docs, labels, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    flags = toxicity.BoundedCache(lexicon.flags)
+    text = dict(corpus)
+
+    def plain(x):
+        total = forest.base
+        for feature, cut, leaf in forest.trees:
+            node, depth = 0, 0
+            while 2**depth < len(leaf):
+                node = 2 * node + (2 if x[feature[node]] > cut[node] else 1)
+                depth += 1
+            total += leaf[node - (len(leaf) - 1)]
+        return total
+
+    out = queries.op3_toxicity(spark, sf).collect()
+    got = {r.doc_id: r.score for r in out}
+    margins = {i: plain(toxicity.features_of(t, flags)) for i, t in text.items()}
+    steps = [(float(a), float(b)) for a, b in zip(forest.steps_at, forest.steps_value)]
+    for i, m in margins.items():
+        assert got[i] == pytest.approx(float(np.interp(m, [a for a, _ in steps], [b for _, b in steps])), abs=1e-9)
+    assert all(r.predicted == (r.score >= 0.3) for r in out)
+
+
+def test_equal_texts_have_equal_scores(spark):
+    model = ranking.Ranker(tuple(0.1 for _ in ranking.FEATURES), 0.2, 0.5)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["same words", "same words", None, ""])], "doc_id long, text string")
+    s = [r.score for r in ranking.score(df, model).orderBy("doc_id").collect()]
+    assert s[0] == s[1] and s[2] == s[3]
