@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -118,7 +119,10 @@ class Stream:
     vbr: str = ""
     vbr_frames: int | None = None
     vbr_bytes: int | None = None
+    vbr_at: int = 0
     toc: tuple[int, ...] = ()
+    toc_frames: int = 0
+    fields: dict[str, str] = field(default_factory=dict)
     delay: int = 0
     padding: int = 0
     offsets: list[int] = field(default_factory=list)
@@ -139,6 +143,22 @@ class Stream:
         """Exact seconds as a fraction (samples without delay and padding, rate)."""
         return max(0, self.samples - self.delay - self.padding), self.rate or 1
 
+    @property
+    def toc_error(self) -> int | None:
+        """The greatest distance in bytes between where the seek table puts a place and the frame found there; None without a table.
+
+        A Xing table rounds to a 256th of its bytes, so up to that and a frame's size is no fault.
+        """
+        n = len(self.offsets)
+        if not n or not self.toc or not self.vbr_bytes:
+            return None
+        if self.vbr == "VBRI":
+            said = accumulate(self.toc)
+            pairs = [(p, (i + 1) * self.toc_frames) for i, p in enumerate(said) if 0 < (i + 1) * self.toc_frames < n]
+        else:
+            pairs = [(p * self.vbr_bytes // 256, n * i // 100) for i, p in enumerate(self.toc)]
+        return max((abs(p - (self.offsets[k] - self.vbr_at)) for p, k in pairs), default=0)
+
     def seek(self, sample: int) -> int | None:
         """Byte offset of the frame that holds a sample; None outside. Exact: from the frames, not from the seek table."""
         if not self.offsets or not 0 <= sample < self.samples:
@@ -161,36 +181,142 @@ def _frame_at(data: bytes, at: int, end: int, like: Header | None, sure: bool) -
 
 
 def _vbr(frame: bytes, head: Header, out: Stream) -> bool:
+    """Read a VBR table in a frame; whether there is one. Fields that the frame is too short for stay unset."""
     at = 4 + head.side
     if frame[at : at + 4] in (b"Xing", b"Info"):
-        flags = struct.unpack_from(">I", frame, at + 4)[0]
-        out.vbr, p = frame[at : at + 4].decode(), at + 8
-        if flags & 1:
-            out.vbr_frames, p = struct.unpack_from(">I", frame, p)[0], p + 4
-        if flags & 2:
-            out.vbr_bytes, p = struct.unpack_from(">I", frame, p)[0], p + 4
-        if flags & 4:
-            out.toc, p = tuple(frame[p : p + 100]), p + 100
-        p += 4 * (flags >> 3 & 1)
+        out.vbr, flags, p = frame[at : at + 4].decode(), int.from_bytes(frame[at + 4 : at + 8], "big"), at + 8
+        found = {}
+        for bit, size in ((1, 4), (2, 4), (4, 100), (8, 4)):
+            if flags & bit:
+                if p + size > len(frame):
+                    return True
+                found[bit], p = frame[p : p + size], p + size
+        number = lambda bit: int.from_bytes(found[bit], "big") if bit in found else None
+        out.vbr_frames, out.vbr_bytes, out.toc = number(1), number(2), tuple(found.get(4, b""))
         if frame[p : p + 4] in (b"LAME", b"Lavc", b"Lavf") and len(frame) >= p + 24:
             three = int.from_bytes(frame[p + 21 : p + 24], "big")
             out.delay, out.padding = three >> 12, three & 0xFFF
         return True
     if frame[36:40] == b"VBRI" and len(frame) >= 62:
         out.vbr = "VBRI"
-        out.vbr_bytes, out.vbr_frames, n, scale, width = struct.unpack_from(">IIHHH", frame, 46)
+        out.vbr_bytes, out.vbr_frames, n, scale, width, out.toc_frames = struct.unpack_from(">IIHHHH", frame, 46)
         width = min(max(width, 1), 4)
         out.toc = tuple(scale * int.from_bytes(frame[62 + i * width : 62 + (i + 1) * width], "big") for i in range(min(n, (len(frame) - 62) // width)))
         return True
     return False
 
 
+def _words_of(raw: bytes, encoding: int) -> str:
+    """The text of an ID3v2 frame: parts between zeros, joined by slashes."""
+    text = raw.decode(("latin-1", "utf-16", "utf-16-be", "utf-8")[encoding & 3], "replace")
+    return "/".join(x for x in text.split("\0") if x)
+
+
+def _id3v2(body: bytes, version: int, flags: int, out: Stream) -> int | None:
+    """Read the frames of an ID3v2 tag: text frames into fields, and the payload's length from a private frame of ours."""
+    if flags & 0x80 and version < 4:
+        body = body.replace(b"\xff\0", b"\xff")
+    syncsafe = lambda b: sum((x & 0x7F) << 7 * i for i, x in enumerate(reversed(b)))
+    at, length = 0, None
+    if flags & 0x40 and version >= 3:
+        at = syncsafe(body[:4]) if version == 4 else 4 + int.from_bytes(body[:4], "big")
+    name_size, head_size = (3, 6) if version == 2 else (4, 10)
+    while at + head_size <= len(body) and body[at : at + name_size].isalnum():
+        name, raw = body[at : at + name_size].decode("latin-1"), body[at + name_size : at + name_size + (3 if version == 2 else 4)]
+        size = syncsafe(raw) if version == 4 else int.from_bytes(raw, "big")
+        value = body[at + head_size : at + head_size + size]
+        if len(value) < size:
+            break
+        if name.startswith("T") and value:
+            out.fields.setdefault(name, _words_of(value[1:], value[0]))
+        if name == "PRIV" and value.startswith(_OWNER + b"\0") and len(value) == len(_OWNER) + 17:
+            length, text_bytes = struct.unpack_from(">QQ", value, len(_OWNER) + 1)
+            out.text_bytes = text_bytes if text_bytes <= length else None
+        at += head_size + size
+    return length
+
+
+def _id3v1(tag: bytes, out: Stream) -> None:
+    for name, lo, hi in (("title", 3, 33), ("artist", 33, 63), ("album", 63, 93), ("year", 93, 97), ("comment", 97, 127)):
+        value = tag[lo:hi].split(b"\0")[0].decode("latin-1").strip()
+        if value:
+            out.fields.setdefault(name, value)
+    if tag[125] == 0 and tag[126]:
+        out.fields.setdefault("track", str(tag[126]))
+
+
+def _ape(items: bytes, out: Stream) -> None:
+    at = 0
+    while at + 8 < len(items):
+        size, end = int.from_bytes(items[at : at + 4], "little"), items.find(b"\0", at + 8)
+        if end < 0 or end + 1 + size > len(items):
+            return
+        out.fields.setdefault(items[at + 8 : end].decode("latin-1"), items[end + 1 : end + 1 + size].decode("utf-8", "replace"))
+        at = end + 1 + size
+
+
+# Fixed values of layer II: the bits of a subband's allocation, as (subbands, bits) runs.
+ALLOCATION = {
+    "a": ((11, 4), (12, 3), (4, 2)),
+    "b": ((11, 4), (12, 3), (7, 2)),
+    "c": ((2, 4), (6, 3)),
+    "d": ((2, 4), (10, 3)),
+    "lsf": ((4, 4), (7, 3), (19, 2)),
+}
+
+
+def _allocation(head: Header) -> tuple[tuple[int, int], ...]:
+    """The allocation runs of a layer II frame: by version, sampling rate and bit rate a channel."""
+    each = head.kbps if head.mono else head.kbps // 2
+    if head.version != 3:
+        return ALLOCATION["lsf"]
+    if each <= 48:
+        return ALLOCATION["d" if head.rate == 32000 else "c"]
+    return ALLOCATION["a" if each <= 80 or head.rate == 48000 else "b"]
+
+
+def protected_bits(frame: bytes, head: Header) -> int:
+    """How many bits after the checksum it covers, besides the header's last two bytes: side information (layer III), the
+    allocations (layer I), the allocations and scale factor selections (layer II)."""
+    if head.layer == 3:
+        return 8 * head.side
+    channels = 1 if head.mono else 2
+    joint = 4 * ((frame[3] >> 4 & 3) + 1) if frame[3] >> 6 == 1 else 32  # subbands from here on share their allocation
+    if head.layer == 1:
+        return 4 * (channels * joint + 32 - joint if channels == 2 else 32)
+    bits = "".join(f"{b:08b}" for b in frame[6:60])
+    at = used = band = 0
+    for count, width in _allocation(head):
+        for _ in range(count):
+            own = channels if band < joint else 1
+            for _ in range(own):
+                used += ("1" in bits[at : at + width]) * (channels // own)
+                at += width
+            band += 1
+    return at + 2 * used
+
+
+def checksum(frame: bytes, head: Header) -> int | None:
+    """The checksum that a protected frame should have; None where the frame is too short for what it claims."""
+    n = protected_bits(frame, head)
+    covered = frame[6 : 6 + (n + 7) // 8]
+    if len(covered) * 8 < n:
+        return None
+    crc, rest = crc16(frame[2:4] + covered[: n // 8]), n % 8
+    for i in range(rest):
+        bit = covered[-1] >> 7 - i & 1
+        crc = (crc << 1 ^ (0x8005 if (crc >> 15) ^ bit else 0)) & 0xFFFF
+    return crc
+
+
 def parse(data: bytes | None) -> Stream:
-    """Read a stream: tags at both ends, the VBR table in the first frame, then every frame, with the checksum of layer III (protected frames of layers I and II count as unchecked).
+    """Read a stream: tags at both ends, the VBR table in the first frame, then every frame with its checksum.
 
     Where no frame starts, the reader goes on byte by byte until a header comes whose successor agrees with it (and with the
     frames before); what it passed counts as junk and one resynchronisation. Damaged frames (bad checksum) count, but
-    keep their place and samples. Null, empty or foreign bytes give a stream without frames.
+    keep their place and samples. fields holds the tags' text: ID3v2 text frames by their id, ID3v1 fields, APE items; the first of
+    a name counts. A checksum is verified in every protected frame of the three layers; a frame too short for what it covers counts as unchecked.
+    The checksum inside a LAME tag is not. Null, empty or foreign bytes give a stream without frames, whatever they are.
     """
     data = bytes(data or b"")
     out, at, end, length = Stream(), 0, len(data), None
@@ -199,17 +325,17 @@ def parse(data: bytes | None) -> Stream:
         for b in data[at + 6 : at + 10]:
             size = size << 7 | b & 0x7F
         out.tags.append(f"ID3v2.{data[at + 3]}")
-        body = data[at + 10 : at + 10 + size]
-        k = body.find(_OWNER + b"\0")
-        if k >= 0 and len(body) >= k + len(_OWNER) + 17:
-            length, out.text_bytes = struct.unpack_from(">QQ", body, k + len(_OWNER) + 1)
+        found = _id3v2(data[at + 10 : min(end, at + 10 + size)], data[at + 3], data[at + 5], out)
+        length = found if length is None else length
         at += 10 + size + (10 if data[at + 5] & 0x10 else 0)
     if end - at >= 128 and data[end - 128 : end - 125] == b"TAG":
         out.tags.append("ID3v1")
+        _id3v1(data[end - 128 : end], out)
         end -= 128
     if end - at >= 32 and data[end - 32 : end - 24] == b"APETAGEX":
         size, _, flags = struct.unpack_from("<III", data, end - 20)
         out.tags.append("APE")
+        _ape(data[max(at, end - size) : end - 32], out)
         end = max(at, end - size - (32 if flags & 0x80000000 else 0))
     like, sure, first, parts = None, False, True, []
     while at < end:
@@ -231,13 +357,15 @@ def parse(data: bytes | None) -> Stream:
                 break
         like, sure = head, True
         frame = data[at : at + head.size]
-        if head.protected and head.layer == 3:
-            good = crc16(frame[2:4] + frame[6 : 6 + head.side]) == int.from_bytes(frame[4:6], "big")
+        if head.protected:
+            due = checksum(frame, head)
+            good = due == int.from_bytes(frame[4:6], "big")
+            out.crc_unchecked += due is None
             out.crc_good += good
-            out.crc_bad += not good
-        elif head.protected:
-            out.crc_unchecked += 1  # which bits layers I and II protect depends on their bit allocation, which is not read
-        if not (first and head.layer == 3 and _vbr(frame, head, out)):
+            out.crc_bad += due is not None and not good
+        if first and head.layer == 3 and _vbr(frame, head, out):
+            out.vbr_at = at
+        else:
             out.offsets.append(at)
             out.sizes.append(head.size)
             out.samples += head.samples
@@ -277,8 +405,8 @@ def store_media(docs: DataFrame, text: str = "text", keep: list[str] | None = No
 def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | None = None) -> DataFrame:
     """Add `audio`, a struct read from the stored bytes, to the kept columns (all by default).
 
-    audio: tags, vbr (Xing, Info, VBRI or empty) with its frames and bytes, frames, samples, rate, duration (seconds; the
-    exact value is duration_samples / rate), kbps (mean), crc_good, crc_bad, crc_unchecked (protected frames of layers I and II), resyncs, junk bytes, frame_offsets (array: the byte at which each
+    audio: tags, fields (their texts by name), vbr (Xing, Info, VBRI or empty) with its frames and bytes, toc_error (bytes; see Stream), frames, samples, rate, duration (seconds; the
+    exact value is duration_samples / rate), kbps (mean), crc_good, crc_bad, crc_unchecked (frames too short for what they cover), resyncs, junk bytes, frame_offsets (array: the byte at which each
     frame starts), payload (binary), text_bytes. Null, empty and foreign bytes give no frames, not an error.
     """
     small_batches(media.sparkSession)
@@ -287,7 +415,7 @@ def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | Non
     kinds = dict(source.dtypes)
     kind = pa.struct([
         ("tags", pa.list_(pa.string())), ("vbr", pa.string()), ("vbr_frames", pa.int64()), ("vbr_bytes", pa.int64()), ("frames", pa.int64()), ("samples", pa.int64()),
-        ("duration_samples", pa.int64()), ("rate", pa.int32()), ("duration", pa.float64()), ("kbps", pa.float64()), ("crc_good", pa.int64()), ("crc_bad", pa.int64()), ("crc_unchecked", pa.int64()),
+        ("duration_samples", pa.int64()), ("rate", pa.int32()), ("duration", pa.float64()), ("kbps", pa.float64()), ("crc_good", pa.int64()), ("crc_bad", pa.int64()), ("crc_unchecked", pa.int64()), ("toc_error", pa.int64()), ("fields", pa.map_(pa.string(), pa.string())),
         ("resyncs", pa.int64()), ("junk", pa.int64()), ("frame_offsets", pa.list_(pa.int64())), ("payload", pa.binary()), ("text_bytes", pa.int64()),
     ])
 
@@ -297,7 +425,7 @@ def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | Non
         return {
             "tags": s.tags, "vbr": s.vbr, "vbr_frames": s.vbr_frames, "vbr_bytes": s.vbr_bytes, "frames": len(s.offsets), "samples": s.samples,
             "duration_samples": n, "rate": s.rate, "duration": n / rate, "kbps": sum(k * v for k, v in s.kbps.items()) / max(1, len(s.offsets)),
-            "crc_good": s.crc_good, "crc_bad": s.crc_bad, "crc_unchecked": s.crc_unchecked, "resyncs": s.resyncs, "junk": s.junk, "frame_offsets": s.offsets, "payload": s.payload, "text_bytes": s.text_bytes,
+            "crc_good": s.crc_good, "crc_bad": s.crc_bad, "crc_unchecked": s.crc_unchecked, "toc_error": s.toc_error, "fields": list(s.fields.items()), "resyncs": s.resyncs, "junk": s.junk, "frame_offsets": s.offsets, "payload": s.payload, "text_bytes": s.text_bytes,
         }
 
     def run(batches):
@@ -305,6 +433,6 @@ def inspect_media(media: DataFrame, column: str = "media", keep: list[str] | Non
             rows = [row(b) for b in batch.column(len(stay)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, kind)], names=[*[f"k{i}" for i in range(len(stay))], "audio"])
 
-    struct_type = "struct<tags:array<string>,vbr:string,vbr_frames:long,vbr_bytes:long,frames:long,samples:long,duration_samples:long,rate:int,duration:double,kbps:double,crc_good:long,crc_bad:long,crc_unchecked:long,resyncs:long,junk:long,frame_offsets:array<long>,payload:binary,text_bytes:long>"
+    struct_type = "struct<tags:array<string>,vbr:string,vbr_frames:long,vbr_bytes:long,frames:long,samples:long,duration_samples:long,rate:int,duration:double,kbps:double,crc_good:long,crc_bad:long,crc_unchecked:long,toc_error:long,fields:map<string,string>,resyncs:long,junk:long,frame_offsets:array<long>,payload:binary,text_bytes:long>"
     out = source.mapInArrow(run, ", ".join([*[f"k{i} {kinds[f'k{i}']}" for i in range(len(stay))], f"audio {struct_type}"]))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(stay)], "audio")
