@@ -5,7 +5,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,8 +16,10 @@ from .common import materialise
 DIMENSIONS = ("source", "lang", "topic")
 #: A target is an exponent (shares in proportion to tokens^exponent) or the shares by value.
 TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.5}
+#: Raking goes on in blocks of rounds until every marginal is within GAP of its target, as a share of all tokens.
 ROUNDS = 6
-CALIBRATIONS = 12
+GAP = 1e-4
+CALIBRATIONS = 12  # of the SQL form
 #: Raking under caps: blocks of rounds at most, and the gap of a marginal, as a share of all tokens, that ends them.
 CAPPED_BLOCKS = 8
 CAPPED_GAP = 1e-6
@@ -52,8 +55,11 @@ def _weight(name: str, target: float | Mapping[str, float], held: Column) -> Col
     return F.when(held > 0, F.pow(held.cast("double"), F.lit(float(target)))).otherwise(0.0)
 
 
-def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, rounds: int = ROUNDS) -> DataFrame:
-    """Add `factor`: raked tokens over tokens, from `rounds` fits of each dimension in turn.
+def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, rounds: int = ROUNDS, gap: float = GAP) -> DataFrame:
+    """Add `factor`: raked tokens over tokens, from fits of each dimension in turn.
+
+    After every `rounds` of fits the marginals are compared with their targets. It ends once the greatest difference is within `gap`
+    of all tokens, or hardly shrinks any more, as where targets contradict each other; then a warning names the difference.
 
     cells: one row per combination of the targets' columns, with `tokens` (long). Null is a value of its own. Shares are
     scaled to the values that occur; a value without a stated share gets none. A cell without tokens, and every
@@ -69,23 +75,34 @@ def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] =
         out = out.withColumn(f"__{name}", share).withColumn(f"__first_{name}", F.row_number().over(Window.partitionBy(name).orderBy(*[c for c in targets])) == 1)
     sums = out.agg(F.sum("tokens").cast("double").alias("__all"), *[F.sum(F.when(F.col(f"__first_{n}"), F.col(f"__{n}")).otherwise(0.0)).alias(f"__sum_{n}") for n in targets])
     whole = sums.first()  # one row of sums
-    for _ in range(rounds):
-        for name in targets:
-            if whole[f"__sum_{name}"]:
+    fitted = [n for n in targets if whole[f"__sum_{n}"]]
+    aims = {n: F.lit(whole["__all"]) * F.col(f"__{n}") / F.lit(whole[f"__sum_{n}"]) for n in fitted}
+    before = None
+    while fitted and rounds:
+        for _ in range(rounds):
+            for name in fitted:
                 now = F.sum("r").over(Window.partitionBy(name))
-                aim = F.lit(whole["__all"]) * F.col(f"__{name}") / F.lit(whole[f"__sum_{name}"])
-                out = out.withColumn("r", F.when(now > 0, F.col("r") * aim / now).otherwise(F.col("r")))
+                out = out.withColumn("r", F.when(now > 0, F.col("r") * aims[name] / now).otherwise(F.col("r")))
+        out = materialise(out, "raked")
+        off = [out.groupBy(n).agg(F.abs(F.sum("r") - F.first(aims[n])).alias("gap")).agg(F.max("gap")).first()[0] for n in fitted]
+        now_off = max(off) / whole["__all"]
+        if now_off <= gap:
+            break
+        if before is not None and now_off > 0.98 * before:
+            warnings.warn(f"raking stops {now_off:.2g} of all tokens away from its targets", stacklevel=2)
+            break
+        before = now_off
     return out.select(*cells.columns, F.when(F.col("tokens") > 0, F.col("r") / F.col("tokens")).otherwise(0.0).alias("factor"))
 
 
-def calibrate(cells: DataFrame, share: float, rounds: int = CALIBRATIONS) -> float:
+def calibrate(cells: DataFrame, share: float) -> float:
     """The multiplier c for which the expected tokens, sum of tokens·min(1, c·factor), are `share` of all tokens.
 
-    Each round settles the cells that reach probability 1 and solves for the rest; it ends when nothing changes. Only
-    sums, one row a round, reach the driver. 0 where there are no tokens.
+    Each round settles the cells that reach probability 1 and solves for the rest; it ends when nothing changes, which it
+    does, since settled cells stay so. Only sums, one row a round, reach the driver. 0 where there are no tokens.
     """
     c = None
-    for _ in range(rounds):
+    while True:
         full = F.lit(False) if c is None else F.col("factor") * c >= 1
         row = cells.agg(
             F.sum("tokens").alias("all"),
@@ -98,7 +115,6 @@ def calibrate(cells: DataFrame, share: float, rounds: int = CALIBRATIONS) -> flo
         if c is not None and now <= c:
             return c
         c = now
-    return c
 
 
 def rake_capped(cells: DataFrame, share: float, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, rounds: int = ROUNDS, blocks: int = CAPPED_BLOCKS) -> DataFrame:
@@ -125,7 +141,7 @@ def rake_capped(cells: DataFrame, share: float, targets: Mapping[str, float | Ma
     part, aims = min(1.0, share * sums["all"] / sums["t"]), {}
     for n in names:
         values = out.groupBy(n).agg(F.sum("t").alias("tokens"), F.first(f"__{n}").alias("w")).where("tokens > 0").withColumn("factor", F.col("w") / F.col("tokens"))
-        aims[n] = calibrate(values, part, rounds=1000)
+        aims[n] = calibrate(values, part)
     out = out.select("*", *[F.least(F.sum("t").over(Window.partitionBy(n)), F.col(f"__{n}") * F.lit(float(aims[n]))).alias(f"__aim_{n}") for n in names])
     order = [F.col(n) for n in names]
     for _ in range(blocks):
@@ -165,8 +181,8 @@ def marginals(mixed: DataFrame, targets: Mapping[str, float | Mapping[str, float
     return out
 
 
-def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, key: str = "doc_id", text: str = "text", seed: str = "mix", rounds: int = ROUNDS, capped: bool = False) -> DataFrame:
-    """Every row of docs with its topic (made from the text unless docs has one), tokens, probability and kept.
+def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, key: str = "doc_id", text: str = "text", seed: str = "mix", rounds: int = ROUNDS, capped: bool = False, topic: Callable[[Column], Column] = topic_of) -> DataFrame:
+    """Every row of docs with its topic (made from the text by `topic` unless docs has one), tokens, probability and kept.
 
     Tokens are summed per cell of the targets' dimensions before they are shuffled, and the cells are raked. A document is kept
     where the uniform number of its key is below its cell's probability, so runs agree and repeated rows share a fate.
@@ -180,14 +196,14 @@ def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mappi
     rest = [c for c in docs.columns if c not in ("tokens", "probability", "kept")]
     rows = docs.select(*rest, token_count(F.col(text)).alias("tokens"))
     if "topic" in targets and "topic" not in rest:
-        rows = rows.withColumn("topic", topic_of(F.col(text)))
+        rows = rows.withColumn("topic", topic(F.col(text)))
     dims = list(targets)
     cells = rows.groupBy(*dims).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n_docs"))
     if capped:
         cells = rake_capped(cells, share, targets, rounds)
         chance = F.col("probability")
     else:
-        cells = materialise(rake(materialise(cells, "cells"), targets, rounds), "raked")
+        cells = rake(materialise(cells, "cells"), targets, rounds)
         chance = F.least(F.lit(1.0), F.col("factor") * F.lit(float(calibrate(cells, share))))
     chances = cells.select(*[F.col(d).alias(f"__{d}") for d in dims], chance.alias("probability"))
     few = cells.count() <= BROADCAST_CELLS

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from .common import crc_of_id, read
 
 
 #: Folder of the public tokenizers' files, the same on every executor.
-TOKENIZERS = os.environ.get("LOAMLINE_TOKENIZERS", "/opt/tokenizers")
+TOKENIZERS = os.environ.get("LOAMLINE_TOKENIZERS") or os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

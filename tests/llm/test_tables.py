@@ -1,12 +1,14 @@
 """Mixing, sharding and rules."""
 
 import collections
+import math
 import hashlib
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from loamline.llm import mixing, queries, rules, sharding
@@ -104,6 +106,36 @@ def test_shards(spark, sf, corpus):
     assert 60 < sum(r.grown_shard == 8 for r in rows) < 170
 
 
+def plain_shard(key, weights):
+    """The argmin restated: two chained 64-bit hashes, -ln(u) over the weight."""
+    inner = xxhash.xxh64_intdigest(str(key).encode(), 42)
+    bits = [xxhash.xxh64_intdigest(f"shard {k}".encode(), inner) >> 11 for k in range(len(weights))]
+    return min((-math.log((b + 0.5) / 2**53) / w, k) for k, (b, w) in enumerate(zip(bits, weights)) if w)[1]
+
+
+def test_shards_against_a_plain_argmin(spark, sf):
+    for r in queries.op6_shards(spark, sf).collect():
+        assert r.shard == plain_shard(r.doc_id, [1.0] * 8) and r.grown_shard == plain_shard(r.doc_id, [1.0] * 9)
+    w = (1.0, 2.5, 0.0, 0.3)
+    for r in spark.range(2000).select("id", sharding.rendezvous_shard(F.col("id"), w).alias("s")).collect():
+        assert r.s == plain_shard(r.id, w)
+
+
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    """A cube with strong ties between its sides needs more than one block of rounds; contradicting targets end with a warning."""
+    cells = [(a, b, 40 if a == b else 1) for a in "abc" for b in "abc"]
+    df = spark.createDataFrame(cells, "source string, lang string, tokens long")
+    targets = {"source": {"a": 0.6, "b": 0.3, "c": 0.1}, "lang": {"a": 0.2, "b": 0.2, "c": 0.6}}
+    rows = mixing.rake(df, targets, rounds=2).collect()
+    total = sum(r.tokens for r in rows)
+    for side, shares in targets.items():
+        for value, share in shares.items():
+            assert abs(sum(r.tokens * r.factor for r in rows if r[side] == value) / total - share) <= mixing.GAP
+    apart = spark.createDataFrame([("a", "x", 50), ("b", "y", 50)], "source string, lang string, tokens long")
+    with pytest.warns(UserWarning, match="raking stops"):
+        mixing.rake(apart, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}})
+
+
 def test_weights_and_growth(spark):
     keys = spark.range(20000)
     w = (1.0, 2.0, 0.0, 1.0)
