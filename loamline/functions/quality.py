@@ -52,7 +52,7 @@ def alpha_ratio(c: Column) -> Column:
 def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the METRICS columns. A null text is measured as the empty text. Words are split once, in a step of their own."""
     c = F.coalesce(F.col(text), F.lit(""))
-    out = df.withColumn("__words", words(c)).withColumn("__lower", words(F.lower(c)))
+    out = df.withColumn("__words", words(c)).withColumn("__lower", F.transform("__words", F.lower))
     out = out.withColumn("word_count", F.size("__words").cast("long")).withColumn("unique_words", unique_words(F.col("__lower")))
     out = out.withColumn("unique_ratio", F.when(F.col("word_count") == 0, 0.0).otherwise(F.col("unique_words") / F.col("word_count")))
     out = out.withColumn("repetition_ratio", repetition_ratio(F.col("__lower"))).withColumn("alpha_ratio", alpha_ratio(c))

@@ -69,6 +69,17 @@ def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([1 + number(f"a:{i}") % (PRIME - 1) for i in range(n)], np.uint64), np.array([number(f"b:{i}") % PRIME for i in range(n)], np.uint64)
 
 
+def _residues(x: np.ndarray) -> np.ndarray:
+    """x mod 2^31 - 1, in place, for x below 2^62: the prime is one less than a power of two, so bits are folded instead of divided."""
+    p, shift = np.uint64(PRIME), np.uint64(31)
+    for _ in range(2):
+        high = x >> shift
+        x &= p
+        x += high
+    x[x >= p] -= p
+    return x
+
+
 def minhash(df: DataFrame, permutations: int = 128, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and signature (array<long>): minima of (a·h + b) mod (2^31 - 1) over the set of lower-cased words.
 
@@ -86,8 +97,8 @@ def minhash(df: DataFrame, permutations: int = 128, key: str = "doc_id", text: s
                         seen[w] = int.from_bytes(hashlib.md5(w.encode("utf-8", "replace")).digest()[:4], "big") & 0x7FFFFFFF
                 h = np.array([seen[w] for w in words or ()], np.uint64)
                 low = np.full(permutations, PRIME, np.uint64)
-                for at in range(0, len(h), 4096):
-                    low = np.minimum(low, ((a[:, None] * h[None, at : at + 4096] + b[:, None]) % np.uint64(PRIME)).min(1))
+                for at in range(0, len(h), 256):  # blocks that stay in the cache
+                    np.minimum(low, _residues(a[:, None] * h[None, at : at + 256] + b[:, None]).min(1), out=low)
                 out.append(low.astype(np.int64) if len(h) else np.zeros(0, np.int64))
                 if len(seen) > 400_000:
                     seen.clear()

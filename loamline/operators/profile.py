@@ -78,11 +78,21 @@ def size_class(tokens: Column, bounds: tuple[int, int] = SIZE_CLASSES["chunks"])
 
 
 def overlap_length(a: Column, b: Column, reach: int = 200, least: int = 20) -> Column:
-    """The longest suffix of a that is a prefix of b, within `reach` characters; 0 below `least`."""
+    """The longest suffix of a that is a prefix of b, within `reach` characters; 0 below `least`.
+
+    The first place of b's first `least` characters in a's tail gives the longest candidate, which nearly always decides; only where it
+    fails are all lengths tried.
+    """
     bound = F.least(F.lit(reach), F.length(a), F.length(b))
     tail, head = F.right(a, F.lit(reach)), F.left(b, F.lit(reach))
     sizes = F.filter(F.sequence(F.lit(least), F.greatest(bound, F.lit(least))), lambda n: (n <= bound) & (F.right(tail, n) == F.left(head, n)))
-    return F.coalesce(F.array_max(sizes), F.lit(0))
+    place = F.instr(tail, F.left(head, F.lit(least)))
+    first = F.length(tail) - place + 1
+    found = (
+        F.when(bound < least, 0).when(place == 0, 0).when((first <= bound) & (F.right(tail, first) == F.left(head, first)), first)
+        .otherwise(F.coalesce(F.array_max(sizes), F.lit(0)))
+    )
+    return F.coalesce(found, F.lit(0))
 
 
 def consecutive_overlap(df: DataFrame, order: Sequence[str], partition: Sequence[str], text: str = "text", reach: int = 200, least: int = 20) -> DataFrame:

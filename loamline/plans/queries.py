@@ -16,7 +16,7 @@ from loamline.operators import guard as gu
 from loamline.operators import profile as pr
 from loamline.operators import shards as sh
 from loamline.plans import pipeline as pl
-from loamline.session import materialise
+from loamline.session import materialise, spread
 from loamline.sources import extract as ex
 
 W = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -39,7 +39,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"))
 
 
 def s_words(c: str) -> str:

@@ -43,3 +43,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/loamline/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Tables from the first size up to the second are dealt out to all cores.
+SPREAD_BYTES = (1 << 20, 64 << 20)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table that is small but no trifle, dealt out to all cores, since such a table is often a single file of one row group,
+    which one task would work through. Larger tables have splits enough and are read as they are. The rows stay the same."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if SPREAD_BYTES[0] <= size <= SPREAD_BYTES[1] and cores > 1 else df

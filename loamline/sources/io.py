@@ -17,9 +17,21 @@ CHUNK = T.StructType([
 ])
 
 
-def read_chunks(spark: SparkSession, path: str, schema: T.StructType = CHUNK) -> DataFrame:
-    """Chunk files, one JSON object each, at any depth; files that are no JSON are dropped."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
+#: The column that holds what could not be read.
+CORRUPT = "corrupt_record"
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def read_chunks(spark: SparkSession, path: str, schema: T.StructType = CHUNK, keep_corrupt: bool = False) -> DataFrame:
+    """Chunk files, one JSON object each, at any depth. Files that are no JSON are dropped, or with keep_corrupt stay as rows
+    whose content is in corrupt_record (null in the others)."""
+    reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    if keep_corrupt:
+        return reader.schema(_with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return reader.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
@@ -27,7 +39,8 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    """JSON lines; a line that is no JSON is a row with the line in corrupt_record (null in the others), so nothing is lost or unnoticed."""
+    return spark.read.schema(_with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,9 @@ import zipfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from loamline.operators import shards as sh
 from loamline.sources import extract as ex
 from loamline.sources import io as sio
 
@@ -54,3 +56,27 @@ def test_chunks_and_lines(spark, tmp_path):
 def test_sidecars(spark):
     a, b = spark.createDataFrame([("x", "t"), ("y", "u")], "stem string, text string"), spark.createDataFrame([("x", 1)], "stem string, n int")
     assert [tuple(r) for r in sio.join_sidecars(a, b).collect()] == [("x", "t", 1)]
+
+
+def test_corrupt_json_is_kept_or_dropped(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1", "text": "fine"}')
+    (tmp_path / "b.json").write_text('{"id": ')
+    assert [r.id for r in sio.read_chunks(spark, str(tmp_path)).collect()] == ["1"]
+    rows = {r.id: r.corrupt_record for r in sio.read_chunks(spark, str(tmp_path), keep_corrupt=True).collect()}
+    assert rows["1"] is None and rows[None].startswith('{"id"')
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "x.jsonl").write_text('{"id": "1"}\nno json\n{"id": "2"}\n')
+    lines = sio.read_json_lines(spark, str(tmp_path / "lines"), T.StructType([T.StructField("id", T.StringType())]))
+    assert sorted((r.id or "", r.corrupt_record or "") for r in lines.collect()) == [("", "no json"), ("1", ""), ("2", "")]
+
+
+def test_written_stages_and_listings(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", True), (2, None, True), (3, "b", False), (4, "", True)], "id int, text string, ok boolean")
+    sio.write_successful(rows, str(tmp_path / "ok"), "ok")
+    assert [r.id for r in sio.read_parquet(spark, str(tmp_path / "ok")).collect()] == [1]
+    sio.write_chunks(spark.createDataFrame([("1", "x")], "id string, text string"), str(tmp_path / "chunks"))
+    assert sio.read_chunks(spark, str(tmp_path / "chunks")).first().text == "x"
+    listed = sh.list_shards(spark, str(tmp_path / "ok")).collect()
+    assert listed and all(r.path.endswith(".parquet") and r.bytes > 0 for r in listed)
+    (tmp_path / "one.txt").write_text("alone")
+    assert ex.extract_files(ex.scan_file(spark, str(tmp_path / "one.txt"))).first().text == "alone"
