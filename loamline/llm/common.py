@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from loamline.session import spread
+
 #: Rows an Arrow batch carries to Python at most: keeps a batch of long texts within a worker's memory.
 BATCH_ROWS = 2000
 
@@ -112,7 +114,7 @@ def map_texts(
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{table}.parquet"))
 
 
 class BoundedCache(dict):
