@@ -188,8 +188,8 @@ def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mappi
     where the uniform number of its key is below its cell's probability, so runs agree and repeated rows share a fate.
     Null source, language or topic is a value of its own; null and empty texts have 0 tokens and take their cell's
     probability (0 in a cell without tokens). Other columns stay; input columns named as a new one give way.
-    capped: rake under the caps (rake_capped), so that the kept tokens meet all targets that `share` leaves reachable; without
-    it the caps come after the raking, as in oracle().
+    capped: rake under the caps (rake_capped), so that the kept tokens meet all targets that `share` leaves reachable, as in
+    oracle_capped(); without it the caps come after the raking, as in oracle().
     """
     if not 0 < share <= 1:
         raise ValueError("share must be above 0 and at most 1")
@@ -212,13 +212,34 @@ def mix(docs: DataFrame, share: float = 0.5, targets: Mapping[str, float | Mappi
     return joined.withColumn("kept", F.coalesce(uniform(F.col(key), seed) < F.col("probability"), F.lit(False)))
 
 
-def oracle(share: float, targets: Mapping[str, float], rounds: int = ROUNDS, calibrations: int = CALIBRATIONS, docs: str = "documents", seed: str = "mix") -> str:
-    """DuckDB SQL of mix() with exponents as targets: doc_id, source, lang, topic, tokens, probability, kept."""
-    dims = ", ".join(targets)
-    out = [
+def _cells_sql(dims: str, docs: str) -> list[str]:
+    """The documents with tokens and topic (d) and their cells (g)."""
+    return [
         f"d AS (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens, CASE WHEN contains(text, 'icense') THEN 'legal' WHEN contains(text, '@') THEN 'contact' WHEN contains(text, ' = ') THEN 'settings' ELSE 'general' END AS topic FROM {docs})",
         f"g AS (SELECT {dims}, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY {dims})",
     ]
+
+
+def _sample_sql(targets: Mapping[str, float], seed: str) -> str:
+    """The documents with the probability of their cell (p), and whether their number is below it."""
+    same = " AND ".join(f"d.{n} IS NOT DISTINCT FROM p.{n}" for n in targets)
+    u = f"('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0"
+    return f"SELECT doc_id, d.source, d.lang, d.topic, d.tokens, round(probability, 6) AS probability, coalesce({u} < probability, false) AS kept FROM d LEFT JOIN p ON {same}"
+
+
+def _calibration_sql(name: str, cells: str, share: str, rounds: int) -> list[str]:
+    """calibrate() as tables name0, name1 and so on, each with one row c; later ones no longer change."""
+    out = [f"{name}0 AS (SELECT {share} * sum(tokens) / sum(tokens * factor) AS c FROM {cells})"]
+    for i in range(rounds - 1):
+        c = f"{name}{i}"
+        out.append(f"{name}{i + 1} AS (SELECT greatest(any_value({c}.c), coalesce(({share} * sum(tokens) - sum(CASE WHEN factor * {c}.c >= 1 THEN tokens ELSE 0 END)) / nullif(sum(CASE WHEN factor * {c}.c >= 1 THEN 0 ELSE tokens * factor END), 0), 0)) AS c FROM {cells}, {c})")
+    return out
+
+
+def oracle(share: float, targets: Mapping[str, float], rounds: int = ROUNDS, calibrations: int = CALIBRATIONS, docs: str = "documents", seed: str = "mix") -> str:
+    """DuckDB SQL of mix() with exponents as targets: doc_id, source, lang, topic, tokens, probability, kept."""
+    dims = ", ".join(targets)
+    out = _cells_sql(dims, docs)
     for name, power in targets.items():
         out.append(f"t_{name} AS (SELECT {name}, CASE WHEN s > 0 THEN pow(s, {power}) ELSE 0 END AS a FROM (SELECT {name}, sum(tokens) AS s FROM g GROUP BY {name}))")
     joins = " ".join(f"LEFT JOIN t_{n} ON g.{n} IS NOT DISTINCT FROM t_{n}.{n}" for n in targets)
@@ -231,10 +252,37 @@ def oracle(share: float, targets: Mapping[str, float], rounds: int = ROUNDS, cal
             out.append(f"r{k + 1} AS (SELECT * EXCLUDE (now) REPLACE (CASE WHEN now > 0 THEN r * aim_{name} / now ELSE r END AS r) FROM ({now}))")
             k += 1
     out.append(f"f AS (SELECT {dims}, tokens, CASE WHEN tokens > 0 THEN r / tokens ELSE 0 END AS factor FROM r{k})")
-    out.append(f"c0 AS (SELECT {share} * sum(tokens) / sum(tokens * factor) AS c FROM f)")
-    for i in range(calibrations - 1):
-        out.append(f"c{i + 1} AS (SELECT greatest(any_value(c{i}.c), coalesce(({share} * sum(tokens) - sum(CASE WHEN factor * c{i}.c >= 1 THEN tokens ELSE 0 END)) / nullif(sum(CASE WHEN factor * c{i}.c >= 1 THEN 0 ELSE tokens * factor END), 0), 0)) AS c FROM f, c{i})")
+    out += _calibration_sql("c", "f", str(share), calibrations)
     out.append(f"p AS (SELECT {dims}, least(1.0, factor * c) AS probability FROM f, c{calibrations - 1})")
-    same = " AND ".join(f"d.{n} IS NOT DISTINCT FROM p.{n}" for n in targets)
-    u = f"('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0"
-    return "WITH " + ",\n".join(out) + f"\nSELECT doc_id, d.source, d.lang, d.topic, d.tokens, round(probability, 6) AS probability, coalesce({u} < probability, false) AS kept FROM d LEFT JOIN p ON {same}"
+    return "WITH " + ",\n".join(out) + "\n" + _sample_sql(targets, seed)
+
+
+def oracle_capped(share: float, targets: Mapping[str, float], rounds: int = ROUNDS, blocks: int = CAPPED_BLOCKS, calibrations: int = CALIBRATIONS, docs: str = "documents", seed: str = "mix") -> str:
+    """DuckDB SQL of mix(capped=True) with exponents as targets, the same columns.
+
+    The raking is a recursion over all cells: step i fits dimension i modulo their number, and after each block of rounds the
+    gaps decide, as in rake_capped, whether it goes on.
+    """
+    dims, names = ", ".join(targets), list(targets)
+    held = ", ".join(f"pow(sum(tokens) OVER (PARTITION BY {n}), {power}) AS w_{n}" for n, power in targets.items())
+    allowed = " AND ".join(["tokens > 0", *[f"w_{n} > 0" for n in names]])
+    out = _cells_sql(dims, docs)
+    out.append(f"w AS (SELECT *, CASE WHEN {allowed} THEN tokens ELSE 0 END AS t FROM (SELECT *, {held} FROM g))")
+    out.append(f"part AS (SELECT least(1.0, {share} * sum(tokens) / sum(t)) AS part, sum(tokens) AS every FROM w)")
+    for n in names:
+        out.append(f"v_{n} AS (SELECT {n}, sum(t) AS tokens, any_value(w_{n}) / sum(t) AS factor FROM w GROUP BY {n} HAVING sum(t) > 0)")
+        out += _calibration_sql(f"c_{n}_", f"v_{n}", "(SELECT part FROM part)", calibrations)
+    aims = ", ".join(f"least(sum(t) OVER (PARTITION BY {n}), w_{n} * (SELECT c FROM c_{n}_{calibrations - 1})) AS aim_{n}" for n in names)
+    out.append(f"b AS (SELECT {dims}, t, {aims}, CASE WHEN t > 0 THEN {share}::DOUBLE ELSE 0 END AS f FROM w)")
+    which = lambda c: "CASE i % " + str(len(names)) + " " + " ".join(f"WHEN {j} THEN {c(n)}" for j, n in enumerate(names)) + " END"
+    key, aim, own = which(lambda n: n), which(lambda n: f"aim_{n}"), ", ".join(f"aim_{n}" for n in names)
+    gaps = ", ".join(f"max(abs(kept_{n} - aim_{n})) OVER ()" for n in names)
+    kept = ", ".join(f"sum(t * least(1.0, f)) OVER (PARTITION BY {n}) AS kept_{n}" for n in names)
+    block = rounds * len(names)
+    out.append(f"""k AS (SELECT 0 AS i, false AS done, {dims}, t, {own}, f FROM b
+  UNION ALL SELECT i + 1, (i + 1) % {block} = 0 AND greatest({gaps}) <= {CAPPED_GAP} * (SELECT every FROM part), {dims}, t, {own}, f FROM (SELECT *, {kept} FROM (
+  SELECT i, {dims}, t, {own}, f * greatest(coalesce(max(need) OVER (PARTITION BY key), 1.0), 0.0) AS f FROM (SELECT *, CASE WHEN rest > 0 THEN (aim - coalesce(whole, 0)) / rest END AS need FROM (
+  SELECT *, sum(t) OVER (PARTITION BY key ORDER BY f DESC, {dims} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS whole, sum(t * f) OVER (PARTITION BY key ORDER BY f DESC, {dims} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM (SELECT *, {key} AS key, {aim} AS aim FROM k WHERE NOT done AND i < {blocks * block}))))))""")
+    out.append(f"p AS (SELECT {dims}, CASE WHEN t > 0 THEN least(1.0, f) ELSE 0 END AS probability FROM k WHERE i = (SELECT max(i) FROM k))")
+    return "WITH RECURSIVE " + ",\n".join(out) + "\n" + _sample_sql(targets, seed)

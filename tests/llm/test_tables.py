@@ -21,6 +21,16 @@ def test_mixing_against_sql(spark, sf):
     assert sorted(sql) == sorted(got)
 
 
+@pytest.mark.parametrize("capped", [False, True])
+def test_mixing_odd_rows_against_sql(spark, odd, capped, tmp_path):
+    odd.select("doc_id", "text", "source", "lang").write.parquet(f"{tmp_path}/odd")
+    form = mixing.oracle_capped if capped else mixing.oracle
+    sql = duckdb.sql(form(0.5, mixing.TARGETS, docs=f"'{tmp_path}/odd/*.parquet'")).fetchall()
+    out = mixing.mix(spark.read.parquet(f"{tmp_path}/odd"), 0.5, capped=capped)
+    got = out.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6), "kept").collect()
+    assert sorted(sql, key=str) == sorted(map(tuple, got), key=str)
+
+
 def test_raking_meets_the_marginals(spark):
     rng = np.random.default_rng(2)
     cells = [(f"s{i}", f"l{j}", f"t{k}", int(rng.integers(1, 1000))) for i in range(5) for j in range(3) for k in range(2)]
