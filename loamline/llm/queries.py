@@ -85,6 +85,11 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rule, bit, n_failed, n_only_this, n_failed_with_any, n_rows: what each rule does within policy v2, from the ledger's bits."""
+    return rules.ablations(rules.ledger(read(spark, sf_dir, "documents"), keep=["doc_id"]), "v2", rules.RULES)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, score: the unigram token count of every document."""
     return viterbi.count_tokens(read(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"])
@@ -103,7 +108,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality, op2_mpeg, op3_toxicity, op4_licences, op5_mixing, op6_shards, op7_rules, op8_token_counts, op9_near_duplicates, op10_bpe)
+    for f in (op1_quality, op2_mpeg, op3_toxicity, op4_licences, op5_mixing, op6_shards, op7_rules, op8_token_counts, op9_near_duplicates, op10_bpe, rule_ablations)
 }
 
 RULES_SQL = r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -118,6 +123,10 @@ f AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_word
   + 16 * (2 * n_dup_lines > n_lines)::BIGINT + 32 * (10 * n_bare > 3 * n_words)::BIGINT + 64 * (word_chars > 30 * n_words OR word_chars < 2 * n_words)::BIGINT AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed & 15 = 0 AS kept, failed FROM f"""
 
+ABLATIONS_SQL = f"""WITH l AS ({RULES_SQL}), r(rule, bit) AS (VALUES {", ".join(f"('{r.name}', {r.bit})" for r in rules.RULES)})
+SELECT rule, bit, count(*) FILTER (failed & (1 << bit) <> 0) AS n_failed, count(*) FILTER (failed = 1 << bit) AS n_only_this, count(*) FILTER (failed <> 0) AS n_failed_with_any, count(*) AS n_rows
+FROM (SELECT failed & {rules.POLICIES["v2"]} AS failed FROM l), r GROUP BY rule, bit"""
+
 #: All pairs of nearly equal size, compared on whole sets; the components by a closure.
 NEAR_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
@@ -127,4 +136,4 @@ reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reac
 least AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a)
 SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(root, s.doc_id) AS component_id, s.doc_id = coalesce(root, s.doc_id) AS kept FROM s LEFT JOIN least ON s.doc_id = least.a"""
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle_capped(MIX_SHARE, mixing.TARGETS), "op7_rules": RULES_SQL, "op9_near_duplicates": NEAR_SQL}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle_capped(MIX_SHARE, mixing.TARGETS), "op7_rules": RULES_SQL, "rule_ablations": ABLATIONS_SQL, "op9_near_duplicates": NEAR_SQL}

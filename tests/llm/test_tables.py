@@ -195,6 +195,13 @@ def test_rule_measures(text):
     assert tuple(m[k][0] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == plain_measures(text)
 
 
+def test_ablations_against_sql(spark, sf):
+    duckdb.sql(f"create or replace view documents as select * from '{sf}/documents.parquet'")
+    sql = duckdb.sql(queries.ORACLES["rule_ablations"]).fetchall()
+    got = [tuple(r) for r in queries.rule_ablations(spark, sf).collect()]
+    assert len(got) == len(rules.RULES) and sorted(sql) == sorted(got)
+
+
 def test_policies_and_ablations(spark, odd, none):
     led = rules.ledger(odd, keep=["doc_id"])
     rows = led.collect()
