@@ -20,6 +20,8 @@ STAGES = ("extraction", "cleaning", "chunking", "filtering")
 PARAGRAPH_REACH, SENTENCE_REACH = 200, 100
 #: So many matches give full confidence.
 SURE = 3
+#: Matches that one fold places.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -75,17 +77,32 @@ def confidence(n: Column) -> Column:
 
 
 def matches(c: Column, pattern: str) -> Column:
-    """array<struct<text,start,end>> of one pattern's matches: the parts between them give the places."""
+    """array<struct<text,start,end>> of one pattern's matches: the parts between them give the places.
+
+    A fold copies what it has gathered at every step, so it runs within blocks of BLOCK matches, each from its own offset:
+    the work grows with the matches, but for a number for each earlier block.
+    """
+    kind = "array<struct<text:string,start:int,end:int>>"
     found, gaps = F.regexp_extract_all(c, F.lit("(" + _java(pattern) + ")"), 1), F.split(c, _java(pattern))
-    start = F.struct(F.expr("cast(array() as array<struct<text:string,start:int,end:int>>)").alias("out"), F.lit(0).alias("at"))
+    pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda t, g: F.struct(g.alias("gap"), t.alias("text")))
 
     def step(acc: Column, x: Column) -> Column:
         at = acc["at"] + F.length(x["gap"])
         end = at + F.length(x["text"])
         return F.struct(F.concat(acc["out"], F.array(F.struct(x["text"].alias("text"), at.alias("start"), end.alias("end")))).alias("out"), end.alias("at"))
 
-    pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda t, g: F.struct(g.alias("gap"), t.alias("text")))
-    return F.coalesce(F.aggregate(pairs, start, step, lambda acc: acc["out"]), F.expr("cast(array() as array<struct<text:string,start:int,end:int>>)"))
+    def place(block: Column, at: Column) -> Column:
+        return F.aggregate(block, F.struct(F.expr(f"cast(array() as {kind})").alias("out"), at.alias("at")), step, lambda acc: acc["out"])
+
+    def placed(blocks: Column) -> Column:
+        sizes = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["text"])))
+        offsets = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.zip_with(blocks, F.slice(offsets, 1, F.size(blocks)), place))
+
+    cut = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda i: F.slice(p, i * BLOCK + 1, BLOCK))
+    # arrays of one element bind the pairs and the blocks, which would be computed at every use otherwise
+    out = F.get(F.transform(F.transform(F.array(pairs), cut), placed), F.lit(0))
+    return F.when(F.coalesce(F.regexp_count(c, F.lit(_java(pattern))), F.lit(0)) > 0, out).otherwise(F.expr(f"cast(array() as {kind})"))
 
 
 def detections(c: Column, config: FilterConfig) -> Column:

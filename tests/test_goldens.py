@@ -1,5 +1,7 @@
 """Hand-worked cases of the boundaries."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +216,11 @@ def test_sections_against_a_restatement():
         got = gu.sections(text, places, context)
         assert {i for lo, hi in got for i in range(lo, hi)} == plain_sections(text, places, context)
         assert all(a[1] < b[0] for a, b in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("n", [0, 1, gu.BLOCK - 1, gu.BLOCK, gu.BLOCK + 1, 3 * gu.BLOCK, 30_000])
+def test_places_of_many_matches(spark, n):
+    text = " line ".join(f"é {i}.{i % 7} b" for i in range(n)) or "none"
+    out = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(gu.matches(F.col("t"), r"\d+\.\d+").alias("m")).collect()
+    assert [tuple(m) for m in out[0].m] == [(m.group(), m.start(), m.end()) for m in re.finditer(r"\d+\.\d+", text)]
+    assert out[1].m == [] and out[2].m == []
