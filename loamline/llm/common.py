@@ -16,11 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from loamline.session import spread
-
-#: Rows an Arrow batch carries to Python at most: keeps a batch of long texts within a worker's memory.
-BATCH_ROWS = 2000
-
+from loamline.session import small_batches, spread
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local session gets a temporary one; on a cluster this is an error."""
@@ -57,14 +53,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return Scratch(df.sparkSession, name).write(df, "0")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, unless the session already has a tighter bound."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
-
-
 def release_memory() -> None:
     """Give a worker's free memory back to the system, so that workers kept for later tasks stay small."""
     gc.collect()

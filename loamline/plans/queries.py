@@ -16,7 +16,7 @@ from loamline.operators import guard as gu
 from loamline.operators import profile as pr
 from loamline.operators import shards as sh
 from loamline.plans import pipeline as pl
-from loamline.session import materialise, spread
+from loamline.session import materialise, small_batches, spread
 from loamline.sources import extract as ex
 
 W = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -35,6 +35,8 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table; batches of its texts that go to Python are bounded."""
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows and bytes an Arrow batch carries to Python at most: keeps a batch of long texts within a worker's memory.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
 def get_spark(app: str = "loamline", master: str | None = None, **conf: str) -> SparkSession:
     """The running session, or a new one: UTC, adaptive execution with skew handling."""
     builder = SparkSession.builder.appName(app)
@@ -19,12 +23,22 @@ def get_spark(app: str = "loamline", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows and bytes of an Arrow batch, unless the session already has tighter bounds."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(key))
+        if not now or not 0 < int(now[1]) <= most:  # a size with a unit is replaced too
+            spark.conf.set(key, str(most))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, for tables that cut a lineage: spark.checkpoint.dir. Where it is unset a local
     session (tests) gets one of this machine; on a cluster this is an error."""
