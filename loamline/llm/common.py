@@ -18,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from loamline.session import small_batches, spread
 
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local session gets a temporary one; on a cluster this is an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()

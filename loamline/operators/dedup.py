@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.session import materialise
+from loamline.session import materialise, small_batches
 
 PRIME = (1 << 31) - 1
 
@@ -80,29 +80,49 @@ def _residues(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Words whose hashes are taken together: bounds a worker's memory (512 bytes a word at 128 minima) whatever the texts.
+BLOCK_WORDS = 1 << 14
+
+
+def _numbers(words: pa.Array) -> np.ndarray:
+    return np.array([int.from_bytes(hashlib.md5(w.encode("utf-8", "replace")).digest()[:4], "big") & 0x7FFFFFFF for w in words.to_pylist()], np.uint64)
+
+
+def _minima(sets: pa.ListArray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A row of minima for each set of words; PRIME throughout for an empty one. The sets' words go through in blocks, which may
+    cut a set; a word that a block holds several times is hashed once."""
+    words, ends = sets.flatten(), np.cumsum(sets.value_lengths().to_numpy(zero_copy_only=False))
+    low = np.full((len(sets), len(a)), PRIME, np.uint32)
+    for at in range(0, len(words), BLOCK_WORDS):
+        block = words.slice(at, BLOCK_WORDS).dictionary_encode()
+        table, places = np.empty((len(block.dictionary), len(a)), np.uint32), block.indices.to_numpy()
+        h = _numbers(block.dictionary)
+        for i in range(0, len(h), 256):  # blocks that stay in the cache
+            table[i : i + 256] = _residues(h[i : i + 256, None] * a + b)
+        first, last = np.searchsorted(ends, [at, at + len(block) - 1], "right")
+        for row in range(first, last + 1):
+            lo = max(at, ends[row - 1] if row else 0) - at
+            if lo < ends[row] - at:
+                np.minimum(low[row], table[places[lo : ends[row] - at]].min(0), out=low[row])
+    return low
+
+
 def minhash(df: DataFrame, permutations: int = 128, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and signature (array<long>): minima of (a·h + b) mod (2^31 - 1) over the set of lower-cased words.
 
-    h: the first 31 bits of a word's md5. A text without words has an empty signature.
+    h: the first 31 bits of a word's md5. A text without words has an empty signature. Words reach Python in bounded batches and
+    stay Arrow arrays, but for the different ones of a block.
     """
+    small_batches(df.sparkSession)
 
     def run(batches):
         a, b = _coefficients(permutations)
-        seen: dict[str, int] = {}
         for batch in batches:
-            out = []
-            for words in batch.column(1).to_pylist():
-                for w in words or ():
-                    if w not in seen:
-                        seen[w] = int.from_bytes(hashlib.md5(w.encode("utf-8", "replace")).digest()[:4], "big") & 0x7FFFFFFF
-                h = np.array([seen[w] for w in words or ()], np.uint64)
-                low = np.full(permutations, PRIME, np.uint64)
-                for at in range(0, len(h), 256):  # blocks that stay in the cache
-                    np.minimum(low, _residues(a[:, None] * h[None, at : at + 256] + b[:, None]).min(1), out=low)
-                out.append(low.astype(np.int64) if len(h) else np.zeros(0, np.int64))
-                if len(seen) > 400_000:
-                    seen.clear()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["key", "signature"])
+            sets = batch.column(1)
+            low = _minima(sets, a, b)
+            some = sets.value_lengths().to_numpy(zero_copy_only=False) > 0
+            ends = np.concatenate([[0], np.cumsum(some * permutations)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, low[some].astype(np.int64).ravel())], names=["key", "signature"])
 
     from loamline.functions.text import words
 

@@ -73,3 +73,35 @@ def test_verify_keeps_texts_below_the_threshold(spark):
     assert got == falls and {60, 61} <= falls and not {62, 63} & falls
     soft = {r.doc_id for r in de.near_dedup(df, de.LshConfig(threshold=0.8, bands=128, rows=1)).collect() if r.is_near_duplicate}
     assert soft > got
+
+
+def test_minima_in_blocks(spark):
+    """Sets that a block cuts, empty ones and words of several sets; a worker holds no more for more texts."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    random.seed(5)
+    sets = [[], ["a"], [f"w{i}" for i in range(3 * de.BLOCK_WORDS)], [], ["a", "é", "w1"], *[[f"w{i}" for i in random.sample(range(5000), 300)] for _ in range(2000)], []]
+    a, b = de._coefficients(128)
+    got = de._minima(pa.array(sets, pa.list_(pa.string())), a, b)
+    flat = sorted(set().union(*sets))
+    number = dict(zip(flat, map(int, de._numbers(pa.array(flat))), strict=True))
+    for s, row in zip(sets[:40] + sets[-1:], [*got[:40], got[-1]], strict=True):
+        want = np.array([[(int(x) * number[w] + int(y)) % de.PRIME for x, y in zip(a[::16], b[::16], strict=True)] for w in s] or [[de.PRIME] * 8]).min(0)
+        assert (row[::16] == want).all()
+    assert (de._minima(pa.array(sets[:9], pa.list_(pa.string())).slice(1, 5), a, b) == got[1:6]).all()
+
+    def peak(n):
+        part = pa.array(sets[5 : 5 + n], pa.list_(pa.string()))
+        tracemalloc.start()
+        de._minima(part, a, b)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(1600) < 1.3 * peak(400)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    de.minhash(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
