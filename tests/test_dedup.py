@@ -105,3 +105,22 @@ def test_minima_in_blocks(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     de.minhash(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
+
+
+def test_verified_links_hold_all_pairs_in_small_batches(spark):
+    """Links to the first of a bucket against brute force, over batches smaller than the table."""
+    random.seed(9)
+    base = [[f"w{g}x{j}" for j in range(80)] for g in range(5)]
+    texts = {i: " ".join(random.sample(b := base[i % 5], len(b)) + [f"own{i}"] * (i % 3)) for i in range(200)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(key, "7")
+    try:
+        members = de.lsh_members(de.minhash(df), *de.LshConfig().split())
+        assert spark.conf.get(key) == "7"  # a tighter bound stays
+        got = {(r.first, r.doc_id): r.jaccard for r in de.verified_links(df, de.lsh_first_links(de.materialise(members, "members")), 0.8).collect()}
+    finally:
+        spark.conf.set(key, before)
+    sets = {i: set(t.split()) for i, t in texts.items()}
+    assert all(j == len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for (a, b), j in got.items())
+    assert {(i % 5, i) for i in range(5, 200) if sets[i] == sets[i % 5]} <= set(got)
