@@ -54,7 +54,7 @@ def straighten_quotes(c: Column) -> Column:
 
 def normalise_whitespace(c: Column) -> Column:
     """One space for runs of spaces, at most two line ends in a row, then every line stripped; outer line ends stay."""
-    c = F.regexp_replace(F.regexp_replace(c, " +", " "), "\n{3,}", "\n\n")
+    c = F.regexp_replace(F.regexp_replace(c, " {2,}", " "), "\n{3,}", "\n\n")
     return F.array_join(F.transform(F.split(c, "\n"), strip), "\n")
 
 

@@ -40,13 +40,13 @@ def unique_words(lower_words: Column) -> Column:
 def repetition_ratio(lower_words: Column) -> Column:
     """1 - distinct / all 3-word windows; 0 below 10 words."""
     n = F.size(lower_words)
-    windows = F.transform(F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))), lambda i: F.concat_ws(" ", lower_words[i], lower_words[i + 1], lower_words[i + 2]))
+    windows = F.transform(F.slice(lower_words, 1, F.greatest(n - 2, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), lower_words[i + 1], F.lit(" "), lower_words[i + 2]))
     return F.when(n < 10, 0.0).otherwise(1 - F.size(F.array_distinct(windows)) / (n - 2))
 
 
 def alpha_ratio(c: Column) -> Column:
     """Letters and white space over all characters; 0 for the empty text."""
-    return F.when(F.length(c) == 0, 0.0).otherwise(F.length(F.regexp_replace(c, rf"[^\p{{L}}{W}]", "")) / F.length(c))
+    return F.when(F.length(c) == 0, 0.0).otherwise(F.length(F.regexp_replace(c, rf"[^\p{{L}}{W}]+", "")) / F.length(c))
 
 
 def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:

@@ -189,8 +189,7 @@ def greedy_near_dedup(members: DataFrame, key: str = "doc_id", finish_rows: int
     table in the shared folder. Every round settles the least undecided key at least, so the rounds end; once finish_rows rows
     or fewer are left, as of long chains, one task settles them in key order.
     """
-    shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    rest = materialise(members.join(shared, ["band", "bucket"]), "greedy")
+    rest = materialise(shared_members(members).distinct(), "greedy")
     fallen: DataFrame | None = None
     while (left := rest.count()) > 0:
         if left <= finish_rows:
@@ -226,11 +225,16 @@ def verified_members(df: DataFrame, members: DataFrame, threshold: float, key: s
     return links.select(F.lit(0).alias("band"), bucket.alias("bucket"), F.explode(F.array("first", key)).alias(key))
 
 
+def shared_members(members: DataFrame) -> DataFrame:
+    """The members of buckets that have two or more; the others decide nothing. members is used twice, so it should be a written table."""
+    return members.join(members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n"), ["band", "bucket"])
+
+
 def near_dedup(df: DataFrame, config: LshConfig = LshConfig(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and is_near_duplicate for every distinct key of df under the greedy rule on LSH buckets, or on their verified links."""
     bands, rows = config.split()
-    members = materialise(lsh_members(minhash(df, config.permutations, key, text), bands, rows, key).distinct(), "members")
+    members = materialise(lsh_members(minhash(df, config.permutations, key, text), bands, rows, key), "members")
     if config.verify:
-        members = materialise(verified_members(df, members, config.threshold, key, text), "verified")
+        members = materialise(verified_members(df, shared_members(members).distinct(), config.threshold, key, text), "verified")
     fallen = greedy_near_dedup(members, key).withColumn("__out", F.lit(True))
     return df.select(key).distinct().join(fallen, key, "left").select(key, F.coalesce("__out", F.lit(False)).alias("is_near_duplicate"))

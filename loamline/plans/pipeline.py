@@ -17,7 +17,7 @@ from loamline.functions.language import readability
 from loamline.functions.quality import QualityConfig, gate_reason, with_metrics
 from loamline.functions.text import strip, word_count
 from loamline.operators.annotate import CATEGORIES, annotation_records, categorise, count_by
-from loamline.operators.dedup import LshConfig, exact_dedup, near_dedup
+from loamline.operators.dedup import LshConfig, greedy_near_dedup, lsh_members, minhash, shared_members, verified_members
 from loamline.operators.guard import FilterConfig, apply_filter
 from loamline.operators.shards import ShardConfig, write_shards
 from loamline.session import materialise
@@ -57,34 +57,48 @@ def gate_chunks(chunks: DataFrame, config: PipelineConfig, order: tuple[str, ...
 
     Order of the checks: content filter, least length, exact duplicate, near duplicate, quality. A hash counts as seen
     from the length check on, so a copy of a chunk that fails later is still an exact duplicate. The chunks are written to
-    the shared folder first, since several checks read them. Rows whose __lost (stage, reason) is set were dropped before and only pass through.
+    the shared folder first, with their metrics, since several checks read them. Rows whose __lost (stage, reason) is set were dropped before and only pass through.
     """
     rows = apply_filter(chunks, config.filter, "filtering")
     early = F.when(F.col("filter_action") == "rejected", F.struct(F.lit("filter").alias("stage"), F.lit("rejected").alias("reason")))
     early = early.when(F.length(F.coalesce("text", F.lit(""))) < config.quality.min_text_length, F.struct(F.lit("length").alias("stage"), F.lit("too_short").alias("reason")))
     if "__lost" in chunks.columns:
         early = F.coalesce("__lost", early)
-    rows = materialise(rows.withColumn("__early", early).drop("__lost"), "chunks")
-    passed = exact_dedup(rows.where("__early IS NULL"), order)
-    failed = rows.where("__early IS NOT NULL").withColumn("text_sha256", F.sha2("text", 256)).withColumn("is_duplicate", F.lit(False))
-    if config.lsh is not None:
-        # the greedy rule goes by the order of the pipeline; a struct of order and id keeps it
-        alive = passed.where("NOT is_duplicate").select(F.struct(*order, key).alias("at"), "text")
-        near = near_dedup(alive, config.lsh, "at").select(F.col(f"at.{key}").alias(key), "is_near_duplicate")
-        passed = passed.join(near, key, "left")
-    else:
-        passed = passed.withColumn("is_near_duplicate", F.lit(False))
-    both = passed.unionByName(failed.withColumn("is_near_duplicate", F.lit(False)))
     ease = readability(F.col("text")) if config.quality.min_readability is not None else None
-    measured = with_metrics(both).withColumn("__gate", gate_reason(config.quality, ease))
-    late = (
-        F.when(F.col("__early").isNotNull(), F.col("__early"))
-        .when(F.col("is_duplicate"), F.struct(F.lit("dedup").alias("stage"), F.lit("exact_duplicate").alias("reason")))
-        .when(F.coalesce("is_near_duplicate", F.lit(False)), F.struct(F.lit("dedup").alias("stage"), F.lit("near_duplicate").alias("reason")))
-        .when(F.col("__gate").isNotNull(), F.struct(F.lit("quality").alias("stage"), F.col("__gate").alias("reason")))
-    )
-    out = measured.withColumn("__late", late)
-    return out.withColumn("stage", F.col("__late.stage")).withColumn("reason", F.col("__late.reason")).drop("__early", "__gate", "__late", "is_duplicate", "is_near_duplicate")
+    rows = with_metrics(rows.withColumn("__early", early).drop("__lost")).withColumn("__gate", gate_reason(config.quality, ease))
+    rows = materialise(rows.withColumn("text_sha256", F.sha2("text", 256)).withColumn("__at", F.monotonically_increasing_id()), "chunks")
+    live = rows.where("__early IS NULL")
+    # copies and near copies are found on narrow rows, and texts are joined once, with what falls
+    narrow, place = live.select(*order, key, "text_sha256", "__at"), F.struct(*order, "__at")
+    groups = narrow.groupBy(F.col("text_sha256").alias("__sha")).agg(F.min(place).alias("__first"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    copies = narrow.join(groups, F.col("text_sha256").eqNullSafe(F.col("__sha"))).where(place != F.col("__first")).select("__at")
+    copies = materialise(copies, "copies")
+    falls = copies.withColumn("__falls", F.lit("exact_duplicate"))
+    if config.lsh is not None:
+        near = _near_copies(live, narrow, copies, config.lsh, order, key)
+        falls = falls.unionByName(near.withColumn("__falls", F.lit("near_duplicate")))
+    falls = falls.groupBy("__at").agg(F.min("__falls").alias("__falls"))
+    why = lambda stage, reason: F.struct(F.lit(stage).alias("stage"), reason.alias("reason"))
+    late = F.coalesce("__early", F.when(F.col("__falls").isNotNull(), why("dedup", F.col("__falls"))), F.when(F.col("__gate").isNotNull(), why("quality", F.col("__gate"))))
+    out = rows.join(falls, "__at", "left").withColumn("__late", late)
+    return out.withColumn("stage", F.col("__late.stage")).withColumn("reason", F.col("__late.reason")).drop("__at", "__early", "__gate", "__falls", "__late")
+
+
+def _near_copies(live: DataFrame, narrow: DataFrame, copies: DataFrame, config: LshConfig, order: tuple[str, ...], key: str) -> DataFrame:
+    """__at of the rows whose key falls under the greedy rule among the rows that are no copies.
+
+    Minima are taken of all rows, so that no text is shuffled to leave the copies out; only rows of shared buckets, where copies
+    are always, go on, by their number alone. The rule goes by the order of the pipeline; a struct of order and id keeps it.
+    """
+    bands, rows = config.split()
+    members = materialise(lsh_members(minhash(live, config.permutations, "__at"), bands, rows, "__at"), "members")
+    keys = narrow.join(copies, "__at", "left_anti").select("__at", F.struct(*order, key).alias("at"))
+    shared = materialise(shared_members(members).join(keys, "__at").drop("__at").distinct(), "shared")
+    if config.verify:
+        texts = live.join(copies, "__at", "left_anti").select(F.struct(*order, key).alias("at"), "text")
+        shared = materialise(verified_members(texts, shared_members(shared), config.threshold, "at"), "verified")
+    fallen = greedy_near_dedup(shared, "at").select(F.col(f"at.{key}").alias(key))
+    return narrow.join(fallen, key, "left_semi").select("__at")
 
 
 def filter_chunks(chunks: DataFrame, config: FilterConfig, lost: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import importlib
 import importlib.util
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,43 @@ def test_entry(spark, monkeypatch):
     assert not any(k.startswith("op1_") or k == "pipeline" for k in bare.queries())
     monkeypatch.undo()
     importlib.reload(e)
+
+
+def test_gate_against_the_sequential_rule(spark):
+    """Copies and near copies among chunks that fail early, as one walk in the pipeline's order gives them; all rows come back."""
+    import random
+
+    from loamline.operators import dedup as de
+
+    random.seed(12)
+    base = [" ".join(f"w{g}x{j}" for j in range(60)) for g in range(6)]
+    texts = [random.choice(base) + random.choice(["", f" own{i}", f" own{i} " + " ".join(f"o{i}y{j}" for j in range(30))]) for i in range(150)] + ["tiny"] * 5
+    random.shuffle(texts)
+    rows = [(i // 3, i % 3, f"c{i:03}", t) for i, t in enumerate(texts)]
+    chunks = spark.createDataFrame(rows, "doc_id long, chunk_index int, chunk_id string, text string").repartition(3)
+    lsh = de.LshConfig(permutations=32, bands=8, rows=4)
+    buckets = {}
+    for r in de.lsh_members(de.minhash(chunks, 32, "chunk_id"), 8, 4, "chunk_id").collect():
+        buckets.setdefault(r.chunk_id, set()).add((r.band, r.bucket))
+    seen, taken, want = set(), set(), {}
+    for _, _, key, text in rows:
+        if text == "tiny":
+            want[key] = "too_short"
+        elif text in seen:
+            want[key] = "exact_duplicate"
+        else:
+            seen.add(text)
+            want[key] = "near_duplicate" if buckets[key] & taken else None
+            taken |= set() if want[key] else buckets[key]
+    got = {r.chunk_id: r.reason for r in pl.gate_chunks(chunks, pl.PipelineConfig(lsh=lsh)).collect()}
+    assert got == want and {"near_duplicate", "exact_duplicate", None} <= set(got.values())
+
+
+def test_report_reads_no_text_after_the_chunks_are_written(spark):
+    """Metrics and hashes are written with the chunks, so what decides copies and counts reasons moves no texts between tasks."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(80)), "en") for i in range(5)], "doc_id long, text string, lang string")
+    report = pl.removal_report(pl.prepare(docs))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "text_sha256#" in plan or "__at#" in plan
+    assert not re.search(r"(?<!\w)text#\d+", plan)
+    assert {tuple(r) for r in report.collect()} == {("kept", "kept", 5)}
