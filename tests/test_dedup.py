@@ -124,3 +124,48 @@ def test_verified_links_hold_all_pairs_in_small_batches(spark):
     sets = {i: set(t.split()) for i, t in texts.items()}
     assert all(j == len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for (a, b), j in got.items())
     assert {(i % 5, i) for i in range(5, 200) if sets[i] == sets[i % 5]} <= set(got)
+
+
+WORKER_PEAKS = """
+import os, sys
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession, functions as F
+
+spark = (
+    SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.driver.memory", "1g")
+    .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "1").config("spark.sql.files.maxPartitionBytes", "1g").config("spark.sql.files.openCostInBytes", "1g").getOrCreate()
+)
+
+def peak(batches):
+    import pyarrow as pa
+
+    for _ in batches:
+        pass
+    kb = next(int(line.split()[1]) for line in open("/proc/self/status") if line.startswith("VmHWM"))
+    yield pa.RecordBatch.from_pydict({"kb": [kb], "pid": [os.getpid()]})
+
+for n in (500, 8000):
+    folder = f"{sys.argv[1]}/{n}"
+    # 400 words each, of 20,000 different ones; every tenth text is a copy of the one before
+    k = F.when(F.col("id") % 10 == 9, F.col("id") - 1).otherwise(F.col("id"))
+    word = lambda i: F.concat(F.lit("word"), F.pmod(F.hash(k, i), F.lit(20000)).cast("string"))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(400)), word), " ")
+    spark.range(0, n, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text")).write.parquet(f"{folder}/documents.parquet")
+    links = entry.queries()["jaccard_links"](spark, folder).collect()
+    kb, pid = spark.range(1).mapInArrow(peak, "kb long, pid long").collect()[0]
+    print("PEAK", n, kb, pid, sum(r.doc_id - r.first == 1 and r.jaccard == 1 for r in links), len(links), flush=True)
+"""
+
+
+def test_worker_of_jaccard_links_holds_no_more_for_more_texts(tmp_path):
+    """The peak of a session's only Python worker after few texts and after many, which one task reads."""
+    import os
+    import subprocess
+    import sys
+
+    said = subprocess.run([sys.executable, "-c", WORKER_PEAKS, str(tmp_path)], cwd=os.environ["PYTHONPATH"].split(os.pathsep)[0], capture_output=True, text=True, timeout=300)
+    rows = [list(map(int, line.split()[1:])) for line in said.stdout.splitlines() if line.startswith("PEAK")]
+    assert len(rows) == 2, said.stderr[-2000:]
+    assert all(copies == links == n // 10 for n, _, _, copies, links in rows)
+    assert len({pid for _, _, pid, *_ in rows}) == 1
+    assert rows[1][1] - rows[0][1] < 80 << 10
